@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import chat, decontam, minhash, substrings
+from tallystone.llm import chat, decontam, langid, minhash, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,21 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.parse_conversations(chat.format_conversations(turns.unionByName(extra))))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold(F.col("doc_id"), 5) != 0)
+    model = toxicity.train(docs, labels)
+    held_out = (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "lang")
+    model = langid.train(docs.where(toxicity.fold(F.col("doc_id"), 4) != 2))
+    held_out = (toxicity.fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    return langid.identify(docs.drop("lang"), model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -41,8 +56,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
+    "op4_language_id": op4_language_id,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }

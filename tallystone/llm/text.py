@@ -76,6 +76,7 @@ class Words:
             before[edges] = False
             after[edges - 1] = False
         self.raw = raw
+        self.offsets = offsets
         self.inside = inside
         self.starts = np.flatnonzero(inside & ~before)
         self.ends = np.flatnonzero(inside & ~after) + 1
@@ -91,7 +92,7 @@ class Words:
         """The words themselves, in order."""
         kept = np.ascontiguousarray(self.raw[self.inside])
         offsets = np.zeros(len(self) + 1, np.int64)
-        np.cumsum(self.ends - self.starts, out=offsets[1:])
+        np.cumsum((self.ends - self.starts) * kept.itemsize, out=offsets[1:])
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
 
     def hashes(self) -> np.ndarray:
@@ -143,3 +144,36 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - shift, lengths)
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def _table(name: str, build) -> np.ndarray:
+    if name not in _tables:
+        _tables[name] = build()
+    return _tables[name]
+
+
+def letters() -> np.ndarray:
+    """By code point: whether it is a letter."""
+    return _table("letters", lambda: np.array([chr(c).isalpha() for c in range(0x110000)], bool))
+
+
+def lower() -> np.ndarray:
+    """By code point: its lower case, where that is one code point."""
+
+    def one(c: int) -> int:
+        low = chr(c).lower()
+        return ord(low) if len(low) == 1 else c
+
+    return _table("lower", lambda: np.array([one(c) for c in range(0x110000)], np.uint32))
+
+
+def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All code points of a string column and the offsets of its rows; null counts as empty."""
+    raw, offsets = utf8(column)
+    points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    count = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=count[1:])
+    return points, count[offsets]

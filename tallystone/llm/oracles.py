@@ -65,6 +65,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM docs LEFT JOIN kept USING (rid)
 """
 
+OP3 = """
+WITH rows AS (
+  SELECT vec_id, row_number() OVER () AS rid, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), queries AS (SELECT DISTINCT vec_id AS query_id, e AS q FROM rows WHERE vec_id % 20 = 0
+), scored AS (SELECT query_id, q, vec_id, list_dot_product(q, e) AS score FROM queries JOIN rows ON vec_id <> query_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP5 = """
+WITH rows AS (
+  SELECT page_id, row_number() OVER () AS rid, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS size, url FROM pages
+), ranked AS (
+  SELECT *, row_number() OVER w AS r, first_value(page_id) OVER w AS lead
+  FROM rows WINDOW w AS (PARTITION BY digest ORDER BY page_id NULLS LAST, url NULLS FIRST, rid)
+)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= 100 AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 100 AND r > 1 THEN lead END AS refers_to
+FROM ranked
+"""
+
 OP8 = rf"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, row_number() OVER () AS rid,
@@ -88,6 +113,8 @@ FROM docs JOIN comp USING (rid) LEFT JOIN sizes USING (rid)
 ORACLES = {
     "op2_benchmark_decontamination": OP2,
     "op9_chat_formatting": OP9,
+    "op3_nearest_neighbours": OP3,
+    "op5_warc": OP5,
     "op8_minhash_near_dedup": OP8,
     "op10_substring_dedup": OP10,
 }

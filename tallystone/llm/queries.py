@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import chat, decontam, langid, minhash, substrings, toxicity
+from tallystone.llm import chat, decontam, htmltext, langid, minhash, packing, substrings, toxicity, vptree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vptree.usable(table(spark, sf_dir, "embeddings"))
+    return vptree.nearest(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "lang")
     model = langid.train(docs.where(toxicity.fold(F.col("doc_id"), 4) != 2))
@@ -45,6 +50,25 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), shard_bytes=8_000_000)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=4).select("doc_id", "n_shingles", "component_id", "kept")
@@ -59,7 +83,11 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_language_id": op4_language_id,
+    "op5_warc": op5_warc,
+    "op6_packing": op6_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }

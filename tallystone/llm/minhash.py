@@ -9,8 +9,9 @@ linked at the threshold share at least ``matches`` postings (but with a chance b
 Counting collisions with prefixes and skips: a posting that no other node has can't match, so nodes with fewer than
 ``matches`` shared postings are skipped at once; of the others only the ``coordinates - matches + 1`` rarest
 postings open a list (two nodes with enough matches must meet in one of them), and lists with equal members are
-merged only once. Within a list, whole signatures are compared and what meets the match threshold is joined in one
-cluster, by a spanning forest instead of all pairs. Lists and clusters over ``block`` nodes are dealt out as pairs
+merged only once. In a list, each node's signature is first compared with that of the list's leader; lists whose nodes
+are all connected then are skipped. In the others all parts that are not connected are merged by comparing whole
+signatures; what meets the match threshold joins one cluster, by a spanning forest instead of all pairs. Lists and clusters over ``block`` nodes are dealt out as pairs
 of blocks, so no task holds an unbounded group. Within clusters, full sets are intersected, again leaving out pairs
 that are connected already; the confirmed links give the components.
 
@@ -112,7 +113,7 @@ def _postings(batches: Iterator[pa.RecordBatch], coordinates: int) -> Iterator[p
             values = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint32).reshape(-1, coordinates)
             tokens = values.astype(np.int64) | (np.arange(coordinates, dtype=np.int64) << 32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("node").take(pa.array(np.repeat(np.arange(len(values)), coordinates))), pa.array(tokens.reshape(-1))], names=["node", "token"]
+                [part.column("pid").take(pa.array(np.repeat(np.arange(len(values)), coordinates))), pa.array(tokens.reshape(-1))], names=["pid", "token"]
             )
 
 
@@ -141,28 +142,43 @@ def _matches(signs: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
     return counts
 
 
-def _pairs(side: np.ndarray, signs: np.ndarray, matches: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(side: np.ndarray, signs: np.ndarray, matches: int, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows that match often enough, most first: within the one block, or between the two."""
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     counts = _matches(signs, left, right)
     i, j = np.nonzero(counts >= matches)
     keep = (left[i] < right[j]) if not (side < 2).any() else slice(None)
     i, j = i[keep], j[keep]
+    if part is not None:
+        keep = part[left[i]] != part[right[j]]
+        i, j = i[keep], j[keep]
     order = np.argsort(-counts[i, j].astype(np.int64), kind="stable")
     return left[i[order]], right[j[order]]
 
 
-def _likely(side: np.ndarray, nodes: list, signs: np.ndarray, _: list, matches: int, percent: int) -> Iterator[tuple]:
+def _likely(side: np.ndarray, nodes: list, signs: np.ndarray, parts: list, matches: int, percent: int) -> Iterator[tuple]:
+    """Edges between parts that are not connected yet."""
     if len(nodes) == 2:
-        if int((signs[0] == signs[1]).sum()) >= matches:
+        if parts[0] != parts[1] and int((signs[0] == signs[1]).sum()) >= matches:
             yield nodes[0], nodes[1]
         return
-    forest = Forest(len(nodes))
-    for i, j in zip(*_pairs(side, signs, matches), strict=True):
-        if forest.join(int(i), int(j)):
+    number = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    part = np.array([number[p] for p in parts])
+    forest = Forest(len(number))
+    for i, j in zip(*_pairs(side, signs, matches, part), strict=True):
+        if forest.join(int(part[i]), int(part[j])):
             yield nodes[i], nodes[j]
 
 
+def _alike(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2000):
+            rows = batch.slice(k, 2000)
+            one, two = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint32).reshape(rows.num_rows, -1) for c in ("signature", "other"))
+            good = pa.array((one == two).sum(1) >= matches)
+            yield pa.RecordBatch.from_arrays([rows.column("pid").filter(good), rows.column("leader").filter(good)], names=["a", "b"])
+
+
 def _confirmed(side: np.ndarray, nodes: list, signs: np.ndarray, items: list, matches: int, percent: int) -> Iterator[tuple]:
     forest = Forest(len(nodes))
     sets = [np.frombuffer(x, np.uint64) for x in items]
@@ -180,7 +196,7 @@ def _confirmed(side: np.ndarray, nodes: list, signs: np.ndarray, items: list, ma
             yield nodes[i], nodes[j]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, percent: int, coordinates: int) -> Iterator[pa.RecordBatch]:
+def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, percent: int, coordinates: int, kind: str) -> Iterator[pa.RecordBatch]:
     """Applies ``find`` to each run of rows with one key; rows come sorted by key. One group at a time is in memory."""
     key, rows = None, []
 
@@ -193,12 +209,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, pe
         if not found:
             return None
         a, b = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        type_ = pa.int64() if kind == "long" else pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array(a, type_), pa.array(b, type_)], names=["a", "b"])
 
     for batch in batches:
-        has = "items" in batch.schema.names
+        extra = "items" if "items" in batch.schema.names else "part"
         columns = [batch.column(c).to_pylist() for c in ("k1", "k2", "k3", "side", "node", "signature")]
-        items = batch.column("items").to_pylist() if has else [None] * batch.num_rows
+        items = batch.column(extra).to_pylist()
         for k1, k2, k3, side, node, sign, own in zip(*columns, items, strict=True):
             if (k1, k2, k3) != key:
                 out = edges()
@@ -225,13 +242,13 @@ def _dealt(members: DataFrame, sizes: DataFrame, key: str, block: int) -> DataFr
         F.least("own", "other").alias("k2"),
         F.greatest("own", "other").alias("k3"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-        *(c for c in ("node", "signature", "items") if c in members.columns),
+        *(c for c in ("node", "signature", "items", "part") if c in members.columns),
     )
 
 
-def _edges(dealt: DataFrame, find: Callable, matches: int, percent: int, coordinates: int) -> DataFrame:
+def _edges(dealt: DataFrame, find: Callable, matches: int, percent: int, coordinates: int, kind: str) -> DataFrame:
     spread = dealt.repartition("k1", "k2", "k3").sortWithinPartitions("k1", "k2", "k3", "side", "node")
-    return spread.mapInArrow(lambda b: _grouped(b, find, matches, percent, coordinates), "a binary, b binary")
+    return spread.mapInArrow(lambda b: _grouped(b, find, matches, percent, coordinates, kind), f"a {kind}, b {kind}")
 
 
 def near_duplicates(
@@ -242,33 +259,46 @@ def near_duplicates(
     features = texts.mapInArrow(lambda b: _features(b, shingle, coordinates), "doc_id long, th long, n_shingles long, node binary, signature binary")
     features = materialize(features, "features")
     nodes = features.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("doc_id").alias("least"), F.first("signature").alias("signature"))
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(nodes.withColumn("pid", F.xxhash64("node")), "nodes")
 
-    postings = nodes.select("node", "signature").mapInArrow(lambda b: _postings(b, coordinates), "node binary, token long")
+    # lists hold short numbers for nodes; where two nodes have one number, both go on to the full sets
+    signs = nodes.select("pid", "signature").dropDuplicates(["pid"])
+    postings = signs.mapInArrow(lambda b: _postings(b, coordinates), "pid long, token long")
     shared = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     prefix = coordinates - matches + 1
     opened = (
         postings.join(shared, "token")
-        .groupBy("node")
+        .groupBy("pid")
         .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("list"))
         .where(F.size("list") >= matches)
         # the postings that nobody shares are the rarest and take the first places
-        .select("node", F.explode(F.slice("list", 1, F.greatest(F.lit(0), F.lit(prefix - coordinates) + F.size("list")))["token"]).alias("token"))
+        .select("pid", F.explode(F.slice("list", 1, F.greatest(F.lit(0), F.lit(prefix - coordinates) + F.size("list")))["token"]).alias("token"))
     )
     opened = materialize(opened, "opened")
     lists = opened.groupBy("token").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")
+        F.count("*").alias("n"), F.min("pid").alias("leader"), F.bit_xor(F.xxhash64("pid")).alias("x"), F.bit_xor(F.xxhash64("pid", F.lit(7))).alias("y")
     )
-    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n")
-    members = opened.join(nodes.select("node", "signature"), "node")
-    likely = _edges(_dealt(members, lists, "token", block), _likely, matches, percent, coordinates)
-    clusters = materialize(graph.components(likely).withColumnRenamed("component", "cluster"), "clusters")
+    lists = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.min("leader").alias("leader"))
+    lists = materialize(lists.select("token", "n", "leader"), "lists")
+
+    # skip: what matches its list's leader needs no merging with the others that do
+    led = opened.join(lists.select("token", "leader"), "token").where("pid <> leader").select("pid", "leader").distinct()
+    other = signs.select(F.col("pid").alias("leader"), F.col("signature").alias("other"))
+    led = led.join(signs, "pid").join(other, "leader").select("pid", "leader", "signature", "other")
+    early = materialize(led.mapInArrow(lambda b: _alike(b, matches), "a long, b long"), "early")
+    group = graph.components(early).select(F.col("node").alias("pid"), F.col("component").alias("part"))
+    members = opened.join(lists.select("token"), "token", "left_semi").join(group, "pid", "left").withColumn("part", F.coalesce("part", "pid"))
+    mixed = members.groupBy("token").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token", "n")
+    members = members.withColumnRenamed("pid", "node").join(signs.withColumnRenamed("pid", "node"), "node")
+    late = _edges(_dealt(members, mixed, "token", block), _likely, matches, percent, coordinates, "long")
+    clusters = graph.components(early.unionByName(late)).select(F.col("node").alias("pid"), F.col("component").alias("cluster"))
+    clusters = materialize(clusters.join(nodes.select("node", "pid"), "pid").select("node", "cluster"), "clusters")
 
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     picked = clusters.join(nodes, "node").select("node", "cluster", "signature", F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"))
     picked = picked.join(texts, F.col("_d").eqNullSafe(texts["doc_id"]) & (F.col("_t") == texts["th"])).select("node", "cluster", "signature", "text")
-    sets = picked.mapInArrow(lambda b: _sets(b, shingle), "node binary, cluster binary, signature binary, items binary").dropDuplicates(["node"])
-    links = _edges(_dealt(sets, sizes, "cluster", block), _confirmed, matches, percent, coordinates)
+    sets = picked.mapInArrow(lambda b: _sets(b, shingle), "node binary, cluster long, signature binary, items binary").dropDuplicates(["node"])
+    links = _edges(_dealt(sets, sizes, "cluster", block), _confirmed, matches, percent, coordinates, "binary")
     found = graph.components(links)
 
     least = found.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))

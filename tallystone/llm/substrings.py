@@ -180,7 +180,9 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     found = texts.mapInArrow(lambda b: _occur(b, window, anchor_words), _OCCURRENCE)
     # seeds: anchors of at least two documents
+    # tables of their own, so that both sides of the joins below are plain exchanges, whose hot keys can be split
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    shared = materialize(shared, "anchors")
     seeds = materialize(found.join(shared, "anchor", "left_semi"), "seeds")
     classes = seeds.groupBy("anchor", "region").agg(F.min(F.struct("doc_id", "th", "start")).alias("rep"))
     several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -188,6 +190,7 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     listed = texts.join(reps, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).select("doc_id", "text", "starts")
     windows = materialize(listed.mapInArrow(lambda b: _windows(b, window, anchor_words), _WINDOW), "windows")
     least = windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor", "content", "lo")
+    least = materialize(least, "least")
     ends = (
         windows.join(least, ["anchor", "content"])
         .where("lo < doc_id")
@@ -195,6 +198,7 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     )
     settled = classes.select("anchor", "region", F.col("rep.doc_id").alias("lo")).join(ends, ["anchor", "region"], "left")
+    settled = materialize(settled, "classes")
     return (
         seeds.join(settled, ["anchor", "region"])
         .withColumn("bits", F.when(F.col("doc_id") > F.col("lo"), F.lit(ALL).cast("long")).otherwise(F.col("bits")))

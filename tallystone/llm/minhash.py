@@ -160,14 +160,14 @@ def _likely(side: np.ndarray, nodes: list, signs: np.ndarray, parts: list, match
     """Edges between parts that are not connected yet."""
     if len(nodes) == 2:
         if parts[0] != parts[1] and int((signs[0] == signs[1]).sum()) >= matches:
-            yield nodes[0], nodes[1]
+            yield parts[0], parts[1]
         return
     number = {p: i for i, p in enumerate(dict.fromkeys(parts))}
     part = np.array([number[p] for p in parts])
     forest = Forest(len(number))
     for i, j in zip(*_pairs(side, signs, matches, part), strict=True):
         if forest.join(int(part[i]), int(part[j])):
-            yield nodes[i], nodes[j]
+            yield parts[i], parts[j]
 
 
 def _alike(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
@@ -290,8 +290,10 @@ def near_duplicates(
     members = opened.join(lists.select("token"), "token", "left_semi").join(group, "pid", "left").withColumn("part", F.coalesce("part", "pid"))
     mixed = members.groupBy("token").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token", "n")
     members = members.withColumnRenamed("pid", "node").join(signs.withColumnRenamed("pid", "node"), "node")
-    late = _edges(_dealt(members, mixed, "token", block), _likely, matches, percent, coordinates, "long")
-    clusters = graph.components(early.unionByName(late)).select(F.col("node").alias("pid"), F.col("component").alias("cluster"))
+    late = materialize(_edges(_dealt(members, mixed, "token", block), _likely, matches, percent, coordinates, "long"), "late")
+    whole = graph.components(late).select(F.col("node").alias("part"), F.col("component").alias("cluster"))
+    alone = whole.select(F.col("part").alias("pid"), "part").join(group.select("pid"), "pid", "left_anti")
+    clusters = group.unionByName(alone).join(whole, "part", "left").select("pid", F.coalesce("cluster", "part").alias("cluster"))
     clusters = materialize(clusters.join(nodes.select("node", "pid"), "pid").select("node", "cluster"), "clusters")
 
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))

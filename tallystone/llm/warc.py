@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.storage import new_path
+from tallystone.llm.storage import materialize, new_path
 
 MIN_REVISIT = 100
 CELLS = 4096
@@ -154,31 +154,34 @@ class Roller:
 
 
 def _write(frames: Iterator[pd.DataFrame], root: str, limit: int, level: int) -> Iterator[pd.DataFrame]:
-    """One partition may hold several shards, one after the other, each sorted."""
-    roller, before = None, None
+    """One partition may hold several shards, one after the other, each sorted; a record's mark comes right before it."""
+    roller = before = mark = None
     for frame in frames:
         for row in frame.itertuples(index=False):
+            page = None if pd.isna(row.page_id) else int(row.page_id)
+            key = (page, row.url, row.digest)
+            if row.is_mark:
+                mark = (key, bool(row.chosen), None if pd.isna(row.refers_to) else int(row.refers_to), row.refers_url)
+                continue
             if roller is None or roller.shard != row.shard:
                 if roller is not None:
                     yield pd.DataFrame(roller.commit())
                 roller, before = Roller(root, row.shard, limit), None
-            payload = (row.html or "").encode()
-            page = None if pd.isna(row.page_id) else int(row.page_id)
-            same = (page, row.url, row.digest)
+            _, chosen, to, to_url = mark if mark is not None and mark[0] == key else (None, True, None, None)
+            shared = mark is not None and mark[0] == key
             # of equal rows, which lie side by side, the first is the response
-            revisit = bool(row.shared) and (not row.chosen or same == before)
-            to = None if pd.isna(row.refers_to) else int(row.refers_to)
-            roller.put(member(record(page, row.url, payload, row.digest, to, row.refers_url, revisit), level))
-            before = same
+            revisit = shared and (not chosen or key == before)
+            roller.put(member(record(page, row.url, (row.html or "").encode(), row.digest, to, to_url, revisit), level))
+            before = key
     if roller is not None:
         yield pd.DataFrame(roller.commit())
 
 
-def with_shards(pages: DataFrame, shard_bytes: int) -> DataFrame:
-    """``pages`` with an int ``shard`` that rises with page_id."""
+def shards(pages: DataFrame, shard_bytes: int):
+    """A function that gives rows with page_id, url and digest an int ``shard`` that rises with page_id."""
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
-        return pages.withColumn("shard", F.lit(0))
+        return lambda rows: rows.withColumn("shard", F.lit(0))
     width = max(1, -(-(high - low + 1) // CELLS))
     cell = F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width))).cast("int")
     sizes = pages.groupBy(cell.alias("cell")).agg(F.sum(F.col("size") + 500).alias("bytes")).collect()  # at most CELLS + 1 rows
@@ -190,10 +193,9 @@ def with_shards(pages: DataFrame, shard_bytes: int) -> DataFrame:
         first[c], parts[c] = shard, n
         filled = shard_bytes if n > 1 else filled + size
         shard += n - 1
-    rows = [(c, first[c], parts[c]) for c in first]
-    bounds = pages.sparkSession.createDataFrame(rows, "cell int, first int, parts int")
+    bounds = pages.sparkSession.createDataFrame([(c, first[c], parts[c]) for c in first], "cell int, first int, parts int")
     spread = F.pmod(F.xxhash64("page_id", "url", "digest"), F.col("parts")).cast("int")
-    return pages.withColumn("cell", cell).join(F.broadcast(bounds), "cell").withColumn("shard", F.col("first") + spread).drop("cell", "first", "parts")
+    return lambda rows: rows.withColumn("cell", cell).join(F.broadcast(bounds), "cell").withColumn("shard", F.col("first") + spread).drop("cell", "first", "parts")
 
 
 def write(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, level: int = LEVEL) -> DataFrame:
@@ -201,20 +203,25 @@ def write(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, file_byte
     spark = pages.sparkSession
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("size"))
+    narrow = rows.drop("html")
     # null page_ids last, null urls first among equals: structs put nulls first, so a flag leads
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")
     repeated = (
-        rows.where(F.col("size") >= MIN_REVISIT)
+        narrow.where(F.col("size") >= MIN_REVISIT)
         .groupBy("digest")
         .agg(F.count("*").alias("n"), F.min(order).alias("w"))
         .where("n > 1")
         .select("digest", F.col("w.page_id").alias("refers_to"), F.col("w.url").alias("refers_url"))
     )
-    marked = rows.join(repeated.withColumn("shared", F.lit(True)), "digest", "left")
-    marked = marked.withColumn("chosen", F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("refers_url")))
-    marked = with_shards(marked, shard_bytes).fillna({"shared": False})
-    spread = marked.repartitionByRange("shard").sortWithinPartitions("shard", "page_id", "url", "digest")
-    columns = ("shard", "page_id", "url", "html", "digest", "shared", "chosen", "refers_to", "refers_url")
+    repeated = materialize(repeated, "repeated")
+    chosen = F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("refers_url"))
+    place = shards(narrow, shard_bytes)
+    # marks of repeated payloads travel as rows of their own, so each html goes through one exchange only
+    marks = place(narrow.join(repeated, "digest").select("page_id", "url", "digest", "refers_to", "refers_url", chosen.alias("chosen")).dropDuplicates(["page_id", "url", "digest"]))
+    columns = ("shard", "page_id", "url", "digest", "is_mark", "html", "chosen", "refers_to", "refers_url")
+    records = place(rows).select("shard", "page_id", "url", "digest", F.lit(False).alias("is_mark"), "html", F.lit(None).cast("boolean").alias("chosen"), F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
+    marks = marks.withColumn("is_mark", F.lit(True)).withColumn("html", F.lit(None).cast("string")).select(*columns)
+    spread = records.unionByName(marks).repartitionByRange("shard").sortWithinPartitions("shard", "page_id", "url", "digest", F.desc("is_mark"))
     files = spread.select(*columns).mapInPandas(lambda f: _write(f, root, file_bytes, level), _FILES)
     manifest = f"{root}/_files"
     files.write.mode("overwrite").parquet(manifest)

@@ -174,10 +174,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
     """Fit on the texts of ``docs(doc_id, text, lang)``."""
     spark = docs.sparkSession
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    chosen = known.withColumn("_h", F.xxhash64("text")).select("doc_id", "lang", "_h", "text").withColumn("_r", rank).where(F.col("_r") <= sample)
-    texts = materialize(chosen.select("lang", "text").repartition(2 * spark.sparkContext.defaultParallelism), "langid-sample")
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text", F.xxhash64("text").alias("_h"))
+    # a share of each language that holds about four samples, then the smallest hashes of that
+    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * sample / F.count("*")).alias("_share"))
+    draw = F.pmod(F.xxhash64("doc_id", "_h"), F.lit(1 << 30)) / float(1 << 30)
+    few = known.select("doc_id", "lang", "_h").join(F.broadcast(shares), "lang").where(draw < F.col("_share")).dropDuplicates(["doc_id", "lang", "_h"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id", "_h"))
+    chosen = few.withColumn("_r", rank).where(F.col("_r") <= sample).select("doc_id", "lang", "_h")  # at most ``sample`` ids a language
+    texts = known.join(F.broadcast(chosen), ["doc_id", "lang", "_h"]).select("lang", "text")
+    texts = materialize(texts.repartition(2 * spark.sparkContext.defaultParallelism), "langid-sample")
     counts = texts.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())
     table = np.zeros((len(languages), BUCKETS + 64))

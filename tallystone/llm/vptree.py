@@ -173,7 +173,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
         part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)) == b)
         rows = part.orderBy("vec_id", "embedding").toArrow()
         ids = rows["vec_id"].to_numpy()
-        matrix = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
+        matrix = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), max(1, width))
         block = spark.sparkContext.broadcast((np.arange(len(ids)) + (b << 32), ids, matrix))
         if len(ids):
             own = vectors.mapInArrow(lambda batches, block=block: _search(batches, block, k, factor, shard_rows), _FOUND)

@@ -14,7 +14,7 @@ rows (0 if there are no labels); an empty table gives no rows; other columns pas
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +31,8 @@ SIZES = (3, 4, 5)
 SAMPLE = 2000
 FEATURES = 40_000
 DEVIATIONS = 3.0
+#: Texts are handled in slices of about so many bytes: every character starts up to three n-grams of 12 bytes.
+SLICE_BYTES = 1_500_000
 
 _U = np.uint64
 
@@ -39,8 +41,8 @@ def fold(key: Column, parts: int) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(parts))
 
 
-def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hash of every n-gram occurrence."""
+def _grams(column: pa.Array, wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of every n-gram occurrence, or of those that ``wanted`` marks."""
     points, offsets = tx.code_points(column)
     word = tx.letters()[points] | ((points >= 48) & (points <= 57))
     chars = np.where(word, tx.lower()[points], 32)
@@ -67,8 +69,10 @@ def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if size > 2:
             inner = inner[: len(code)] | space[size - 2 : size - 2 + len(code)]
         if size in SIZES:
-            good = ~inner[: len(code)]
-            owners.append(owner[: len(code)][good])
+            good = np.flatnonzero(~inner[: len(code)])
+            if wanted is not None:
+                good = good[wanted(code[good])]
+            owners.append(owner[good])
             found.append(code[good])
     if not found:
         return np.zeros(0, np.int32), np.zeros(0, _U)
@@ -91,9 +95,8 @@ class Model:
 
     def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of text number and feature number."""
-        owner, code = _grams(column)
-        likely = self.filter[self._slot(code)]
-        owner, code = owner[likely].astype(np.int64), code[likely]
+        owner, code = _grams(column, lambda code: self.filter[self._slot(code)])
+        owner = owner.astype(np.int64)
         if not len(code) or not len(self.hashes):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.minimum(np.searchsorted(self.hashes, code), len(self.hashes) - 1)
@@ -109,7 +112,7 @@ class Model:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in tx.slices(whole, "text"):
+        for batch in tx.slices(whole, "text", SLICE_BYTES):
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
             owner, code = _grams(batch.column("text"))
             order = np.lexsort((owner, code))
@@ -125,7 +128,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _vectors(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in tx.slices(whole, "text"):
+        for batch in tx.slices(whole, "text", SLICE_BYTES):
             owner, feature = model.value.features(batch.column("text"))
             edge = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(feature.astype(np.int32)))
@@ -192,7 +195,7 @@ def _logistic(row: np.ndarray, column: np.ndarray, scale: np.ndarray, target: np
 
 def _score(batches: Iterator[pa.RecordBatch], model, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in tx.slices(whole, "text"):
+        for batch in tx.slices(whole, "text", SLICE_BYTES):
             scores = model.value.scores(batch.column("text"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=schema.names)
 

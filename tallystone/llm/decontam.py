@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from tallystone.llm import text as tx
 
 WINDOW = 13
+#: Texts of one FM-index.
+SHARD_BYTES = 6_000_000
 BLOCK_BYTES = 8_000_000
 RESULT = [
     ("n_words", T.LongType()),
@@ -215,7 +217,7 @@ def find(words: tx.Words, patterns: Patterns) -> tuple[np.ndarray, np.ndarray, n
 
 def _scan(batches: Iterator[pa.RecordBatch], column: str, blocks: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in tx.slices(whole, column):
+        for batch in tx.slices(whole, column, SHARD_BYTES):
             n = batch.num_rows
             words = tx.Words(*_lower(batch.column(column)), tx.ALNUM)
             change = np.zeros(len(words) + 1, np.int64)

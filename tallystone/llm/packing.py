@@ -32,7 +32,7 @@ from tallystone.llm import text as tx
 
 CAPACITY = 2048
 END = 1
-CACHE = 800_000
+CACHE = 300_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Texts are handled in slices of about so many bytes, which bounds a worker's memory; one longer text is a slice alone.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 
 _U = np.uint64
 #: Odd, so it has an inverse modulo 2**64.
@@ -31,6 +32,16 @@ NON_SPACE = byte_class(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 ALNUM = byte_class(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps a worker for later tasks, and with it what its allocators hold."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, each with about ``limit`` bytes of text at most, never fewer than one row."""
     n = batch.num_rows
@@ -44,6 +55,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    release()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -272,4 +272,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    return docs.mapInArrow(lambda batches: _scan(batches, "text", blocks, arrow), schema)
+    return tx.map_arrow(docs, lambda batches: _scan(batches, "text", blocks, arrow), schema)

@@ -470,4 +470,4 @@ def extract(pages: DataFrame, model: Model | None = None, prefix: str = "") -> D
     schema = T.StructType([*pages.schema.fields, T.StructField(f"{prefix}text", T.StringType()), T.StructField(f"{prefix}n_chars", T.LongType())])
     arrow = to_arrow_schema(schema)
     shared = pages.sparkSession.sparkContext.broadcast(model or train())
-    return pages.mapInArrow(lambda b: _extract(b, shared, arrow), schema)
+    return tx.map_arrow(pages, lambda b: _extract(b, shared, arrow), schema)

@@ -183,7 +183,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Mo
     chosen = few.withColumn("_r", rank).where(F.col("_r") <= sample).select("doc_id", "lang", "_h")  # at most ``sample`` ids a language
     texts = known.join(F.broadcast(chosen), ["doc_id", "lang", "_h"]).select("lang", "text")
     texts = materialize(texts.repartition(2 * spark.sparkContext.defaultParallelism), "langid-sample")
-    counts = texts.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = tx.map_arrow(texts, _count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())
     table = np.zeros((len(languages), BUCKETS + 64))
     number = {x: i for i, x in enumerate(languages)}
@@ -234,4 +234,4 @@ def identify(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + n, t) for n, t in added)])
     arrow = to_arrow_schema(schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(lambda b: _predict(b, shared, arrow), schema)
+    return tx.map_arrow(docs, lambda b: _predict(b, shared, arrow), schema)

@@ -248,7 +248,7 @@ def _dealt(members: DataFrame, sizes: DataFrame, key: str, block: int) -> DataFr
 
 def _edges(dealt: DataFrame, find: Callable, matches: int, percent: int, coordinates: int, kind: str) -> DataFrame:
     spread = dealt.repartition("k1", "k2", "k3").sortWithinPartitions("k1", "k2", "k3", "side", "node")
-    return spread.mapInArrow(lambda b: _grouped(b, find, matches, percent, coordinates, kind), f"a {kind}, b {kind}")
+    return tx.map_arrow(spread, lambda b: _grouped(b, find, matches, percent, coordinates, kind), f"a {kind}, b {kind}")
 
 
 def near_duplicates(
@@ -256,14 +256,14 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, kept`` for every row of ``docs`` (``th``: hash of its text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    features = texts.mapInArrow(lambda b: _features(b, shingle, coordinates), "doc_id long, th long, n_shingles long, node binary, signature binary")
+    features = tx.map_arrow(texts, lambda b: _features(b, shingle, coordinates), "doc_id long, th long, n_shingles long, node binary, signature binary")
     features = materialize(features, "features")
     nodes = features.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.min("doc_id").alias("least"), F.first("signature").alias("signature"))
     nodes = materialize(nodes.withColumn("pid", F.xxhash64("node")), "nodes")
 
     # lists hold short numbers for nodes; where two nodes have one number, both go on to the full sets
     signs = nodes.select("pid", "signature").dropDuplicates(["pid"])
-    postings = signs.mapInArrow(lambda b: _postings(b, coordinates), "pid long, token long")
+    postings = tx.map_arrow(signs, lambda b: _postings(b, coordinates), "pid long, token long")
     shared = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     prefix = coordinates - matches + 1
     opened = (
@@ -285,7 +285,7 @@ def near_duplicates(
     led = opened.join(lists.select("token", "leader"), "token").where("pid <> leader").select("pid", "leader").distinct()
     other = signs.select(F.col("pid").alias("leader"), F.col("signature").alias("other"))
     led = led.join(signs, "pid").join(other, "leader").select("pid", "leader", "signature", "other")
-    early = materialize(led.mapInArrow(lambda b: _alike(b, matches), "a long, b long"), "early")
+    early = materialize(tx.map_arrow(led, lambda b: _alike(b, matches), "a long, b long"), "early")
     group = graph.components(early).select(F.col("node").alias("pid"), F.col("component").alias("part"))
     members = opened.join(lists.select("token"), "token", "left_semi").join(group, "pid", "left").withColumn("part", F.coalesce("part", "pid"))
     mixed = members.groupBy("token").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token", "n")
@@ -299,7 +299,7 @@ def near_duplicates(
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     picked = clusters.join(nodes, "node").select("node", "cluster", "signature", F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"))
     picked = picked.join(texts, F.col("_d").eqNullSafe(texts["doc_id"]) & (F.col("_t") == texts["th"])).select("node", "cluster", "signature", "text")
-    sets = picked.mapInArrow(lambda b: _sets(b, shingle), "node binary, cluster long, signature binary, items binary").dropDuplicates(["node"])
+    sets = tx.map_arrow(picked, lambda b: _sets(b, shingle), "node binary, cluster long, signature binary, items binary").dropDuplicates(["node"])
     links = _edges(_dealt(sets, sizes, "cluster", block), _confirmed, matches, percent, coordinates, "binary")
     found = graph.components(links)
 

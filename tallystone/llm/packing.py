@@ -266,4 +266,4 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int,
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
     """One row per piece of each row of ``docs(doc_id, text)``; ``with_ids`` adds the piece's ids."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda b: _pack(b, tokenizer, capacity, end, with_ids), PIECES + ", ids array<int>" * with_ids)
+    return tx.map_arrow(rows, lambda b: _pack(b, tokenizer, capacity, end, with_ids), PIECES + ", ids array<int>" * with_ids)

@@ -178,7 +178,7 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     if not 0 < anchor_words <= window < anchor_words + 62:
         raise ValueError("an anchor must fit into a window, and an occurrence's windows into 62 bits")
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    found = texts.mapInArrow(lambda b: _occur(b, window, anchor_words), _OCCURRENCE)
+    found = tx.map_arrow(texts, lambda b: _occur(b, window, anchor_words), _OCCURRENCE)
     # seeds: anchors of at least two documents
     # tables of their own, so that both sides of the joins below are plain exchanges, whose hot keys can be split
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
@@ -188,7 +188,7 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     reps = classes.join(several, "anchor", "left_semi").groupBy("rep.doc_id", "rep.th").agg(F.collect_set("rep.start").alias("starts"))
     listed = texts.join(reps, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).select("doc_id", "text", "starts")
-    windows = materialize(listed.mapInArrow(lambda b: _windows(b, window, anchor_words), _WINDOW), "windows")
+    windows = materialize(tx.map_arrow(listed, lambda b: _windows(b, window, anchor_words), _WINDOW), "windows")
     least = windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor", "content", "lo")
     least = materialize(least, "least")
     ends = (
@@ -215,4 +215,4 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor_words: int =
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType())]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + k, t) for k, t in added)])
     arrow = to_arrow_schema(schema)
-    return joined.mapInArrow(lambda b: _strip(b, window, "text", arrow), schema)
+    return tx.map_arrow(joined, lambda b: _strip(b, window, "text", arrow), schema)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Texts are handled in slices of about so many bytes, which bounds a worker's memory; one longer text is a slice alone.
 SLICE_BYTES = 2_000_000
@@ -42,6 +44,20 @@ def release() -> None:
         _trim(0)
 
 
+#: Bytes of one Arrow batch to a Python worker, unless the session has a size of its own. Spark's own default of 64 MB
+#: costs the executor some 200 MB a running task (a growing vector, its stream, the worker's copy) that help nothing here.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` in batches bounded by ``BATCH_BYTES``; a longer row is a batch alone."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, None) is None:
+        conf.set(_BATCH_KEY, f"{BATCH_BYTES}b")
+    return df.mapInArrow(function, schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, each with about ``limit`` bytes of text at most, never fewer than one row."""
     n = batch.num_rows

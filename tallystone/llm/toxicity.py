@@ -153,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     if len(sizes) < 2:
         return Model(*nothing, prior)
     bad, good = (F.col("bad") + 1) / (sizes[1] + 2), (F.col("good") + 1) / (sizes[0] + 2)
-    counted = texts.mapInArrow(_count, "gram long, bad long, good long").groupBy("gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counted = tx.map_arrow(texts, _count, "gram long, bad long, good long").groupBy("gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     ratio = counted.where("bad + good >= 3").select("gram", F.log(bad / good).alias("ratio"), (F.log(bad / good) / F.sqrt(1 / (F.col("bad") + 1) + 1 / (F.col("good") + 1))).alias("z"))
     best = ratio.where(F.abs("z") >= deviations).orderBy(F.abs("z").desc(), "gram").limit(features).select("gram", "ratio").collect()
     if not best:
@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     order = np.argsort(hashes)
     model = Model(hashes[order], ratios[order], 0.0)
     shared = spark.sparkContext.broadcast(model)
-    rows = texts.mapInArrow(lambda b: _vectors(b, shared), "doc_id long, toxic int, features array<int>").orderBy("doc_id").toPandas()
+    rows = tx.map_arrow(texts, lambda b: _vectors(b, shared), "doc_id long, toxic int, features array<int>").orderBy("doc_id").toPandas()
     target = rows["toxic"].to_numpy(float)
     lengths = rows["features"].map(len).to_numpy()
     column = np.concatenate([np.zeros(0, np.int64), *rows["features"]]).astype(np.int64)
@@ -205,4 +205,4 @@ def score(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}predicted", T.IntegerType())])
     arrow = to_arrow_schema(schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(lambda b: _score(b, shared, arrow), schema)
+    return tx.map_arrow(docs, lambda b: _score(b, shared, arrow), schema)

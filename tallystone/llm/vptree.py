@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallystone.llm import text as tx
+
 LEAF = 64
 SHARD_ROWS = 8192
 BLOCK_BYTES = 32_000_000
@@ -176,7 +178,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
         matrix = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), max(1, width))
         block = spark.sparkContext.broadcast((np.arange(len(ids)) + (b << 32), ids, matrix))
         if len(ids):
-            own = vectors.mapInArrow(lambda batches, block=block: _search(batches, block, k, factor, shard_rows), _FOUND)
+            own = tx.map_arrow(vectors, lambda batches, block=block: _search(batches, block, k, factor, shard_rows), _FOUND)
             found = own if found is None else found.unionByName(own)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -74,13 +74,40 @@ def match_names(wanted: DataFrame, disk: DataFrame, strategies=STRATEGIES) -> Da
     return out.select(*wanted.columns, found.alias("name"), method.alias("method"))
 
 
+def deletions(name: Column, limit: int) -> Column:
+    """Hashes of ``name`` with up to ``limit`` of its characters taken out, in number of the order of length to the power ``limit``."""
+
+    def cut(kept: Column, rest: Column, left: int) -> Column:
+        whole = F.array(F.xxhash64(F.concat(kept, rest)))
+        if not left:
+            return whole
+        some = F.transform(F.sequence(F.lit(1), F.char_length(rest)), lambda i: cut(F.concat(kept, F.substring(rest, F.lit(1), i - 1)), F.substring(rest, i + 1, F.char_length(rest)), left - 1))
+        return F.concat(whole, F.flatten(some))
+
+    return F.array_distinct(cut(F.lit(""), name, limit))
+
+
 def fuzzy_match(wanted: DataFrame, disk: DataFrame, limit: int = 2) -> DataFrame:
-    """The nearest name of the same directory within ``limit`` edits; a band of lengths joins before any distance is taken."""
-    names = disk.select("parent", "name").distinct().withColumn("_len", F.char_length("name"))
-    lengths = wanted.withColumn("_len", F.explode(F.sequence(F.char_length("db_name") - limit, F.char_length("db_name") + limit)))
-    near = lengths.join(names, ["parent", "_len"]).withColumn("distance", F.levenshtein("db_name", "name", limit)).where("distance >= 0")
-    best = near.groupBy("parent", "db_name").agg(F.min(F.struct("distance", "name")).alias("b"))
-    return best.select("parent", "db_name", "b.name", "b.distance")
+    """The nearest name of the same directory within ``limit`` edits, of any length; of equally near ones the smallest.
+
+    Names within n edits have a deletion of up to n characters each in common, so each round is an equi-join on
+    (parent, deletion) for one more edit, with the names that no round has matched and the disk names of their lengths.
+    """
+    names = disk.select("parent", "name").distinct()
+    rest = wanted.select("parent", "db_name").where(F.col("parent").isNotNull() & F.col("db_name").isNotNull()).distinct()
+    out = None
+    for edits in range(limit + 1):
+        n = F.char_length("db_name")
+        lengths = rest.select("parent", F.explode(F.sequence(n - edits, n + edits)).alias("_len")).distinct()
+        band = names.withColumn("_len", F.char_length("name")).join(lengths, ["parent", "_len"], "left_semi").select("parent", "name")
+        left = rest.withColumn("_key", F.explode(deletions(F.col("db_name"), edits)))
+        right = band.withColumn("_key", F.explode(deletions(F.col("name"), edits)))
+        near = left.join(right, ["parent", "_key"]).withColumn("distance", F.levenshtein("db_name", "name", edits)).where("distance >= 0")
+        found = near.groupBy("parent", "db_name").agg(F.min(F.struct("distance", "name")).alias("b")).select("parent", "db_name", "b.name", "b.distance")
+        out = found if out is None else out.unionByName(found)
+        if edits < limit:
+            rest = rest.join(found.select("parent", "db_name"), ["parent", "db_name"], "left_anti")
+    return out
 
 
 def similar(wanted: DataFrame, disk: DataFrame, ratio: float = 0.85) -> DataFrame:

@@ -562,6 +562,16 @@ def fuzzy_match_ascii(spark, d):
     return paths.fuzzy_match(names.select("parent", F.expr("substring(name, 2)").alias("db_name")).distinct(), names)
 
 
+_ANY = "a AS (SELECT DISTINCT parent, name FROM disk WHERE NOT regexp_matches(name, '[^\\x00-\\x7F]'))"
+
+
+@register(rf"WITH {fx.DISK}, {_ANY}, w AS (SELECT parent, name[2:] AS db_name FROM a GROUP BY ALL), c AS (SELECT w.parent, w.db_name, a.name, levenshtein(w.db_name, a.name) AS distance FROM w JOIN a USING (parent) WHERE levenshtein(w.db_name, a.name) <= 2), r AS (SELECT *, row_number() OVER (PARTITION BY parent, db_name ORDER BY distance, name) AS k FROM c) SELECT parent, db_name, name, distance::INT AS distance FROM r WHERE k = 1")
+def fuzzy_match_names(spark, d):
+    """Every ASCII name of a directory, of any length; ``fuzzy_match_ascii`` takes 4 to 9 characters alone, as its SQL does."""
+    names = disk_of(spark, d).where(~paths.non_ascii(F.col("name"))).select("parent", "name").distinct()
+    return paths.fuzzy_match(names.select("parent", F.expr("substring(name, 2)").alias("db_name")).distinct(), names)
+
+
 @register(f"WITH {fx.FS}, p AS (SELECT pth FROM fs WHERE doc_id % 6 <> 1) SELECT CASE WHEN pth IN (SELECT pth FROM p) AND cantfind THEN 'found_but_flagged' WHEN pth NOT IN (SELECT pth FROM p) AND NOT cantfind THEN 'absent_not_flagged' ELSE 'consistent' END AS state, count(*) AS n FROM fs GROUP BY state")
 def repair_verify(spark, d):
     fs = fs_of(spark, d)

@@ -9,12 +9,14 @@ when its input ends (fewer than k of each class) share bins by first fit, the lo
 Pre-tokens are found with numpy for whole slices of text: the tokenizer's pattern is a matter of character classes
 and runs. Only distinct pre-tokens go through the tokenizer's merges; a worker keeps them until they are more than ``CACHE``.
 
-Special tokens' strings in a text are ordinary text. Cases: null text is empty, which is the one id ``end``;
+Added tokens of the tokenizer (``<|endoftext|>``) are found in a text first, as the tokenizer does; each is its one id.
+Cases: null text is empty, which is the one id ``end``;
 repeated rows are packed each; a null doc_id stays null; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from array import array
@@ -24,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,7 +110,14 @@ class Encoder:
     """Ids of many texts at once, equal to those of ``tokenizers`` for each text."""
 
     def __init__(self, path: str):
-        self.model = _tokenizer(path).model
+        whole = _tokenizer(path)
+        self.model = whole.model
+        added = whole.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError("added tokens of whole words, or that take white space with them, are not supported")
+        self.added = {t.content: i for i, t in added.items()}
+        #: Of added tokens that start at the same place, the longest.
+        self.marks = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         names, extra = {b: chr(b) for b in printable}, 256
         for b in range(256):
@@ -155,6 +165,24 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the offsets of the texts."""
+        if not any(pc.any(pc.match_substring(column, t)).as_py() for t in self.added):
+            return self._encode(column)
+        parts, first, marks, at = [], [0], [], []
+        for text in column.to_pylist():
+            for i, part in enumerate(self.marks.split(text or "")):
+                if i % 2:
+                    marks.append(self.added[part])
+                    at.append(len(parts))
+                else:
+                    parts.append(part)
+            first.append(len(parts))
+        ids, offsets = self._encode(pa.array(parts, pa.large_string()))
+        # a mark comes before the part that follows it
+        before = np.searchsorted(at, first)
+        return np.insert(ids, offsets[at], np.array(marks, np.uint32)), offsets[first] + before
+
+    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts without added tokens."""
         raw, byte_offsets = tx.utf8(column)
         points, offsets = tx.code_points(column)
         lead = np.flatnonzero((raw & 0xC0) != 0x80)

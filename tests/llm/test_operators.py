@@ -192,6 +192,24 @@ def test_pretokens_equal_the_tokenizer():
     assert all(whole.encode(t or "", add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, offsets, offsets[1:], strict=False))
 
 
+def test_packing_takes_added_tokens(spark):
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, mark = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+    whole, own = Tokenizer.from_file(path), packing.Encoder(path)
+    assert whole.encode(f"a{mark}b", add_special_tokens=False).ids == [64, 50256, 65]
+    r = random.Random(2)
+    pieces = [mark, mark, "<|endof", "text|>", "<|", "a", "'s", " ", "\n", "1", "é", "中"]
+    texts = [None, "", mark, mark * 2, f"{mark} a", f"a {mark}", *("".join(r.choice(pieces) for _ in range(r.randint(0, 9))) for _ in range(2000))]
+    ids, offsets = own.encode(pa.array(texts))
+    assert len(offsets) == len(texts) + 1 and offsets[-1] == len(ids)
+    assert all(whole.encode(t or "", add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, offsets, offsets[1:], strict=False))
+    out = packing.pack(spark.createDataFrame([(1, f"a{mark}b"), (2, "a")], DOCS), path, with_ids=True).orderBy("doc_id", "start").collect()
+    assert [x for r in out if r["doc_id"] == 1 for x in r["ids"]] == [64, 50256, 65, 1] and {r["doc_tokens"] for r in out} == {4, 2}
+
+
 def test_warc(spark, tmp_path):
     big = "<p>é" + "x" * 200
     rows = [(5, "u5", big), (3, "a b\r\n%", big), (3, "z", big), (9, None, None), (8, "s", "small"), (7, "s", "small"), (None, "n", big), (5, "u5", big)]

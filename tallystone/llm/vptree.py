@@ -10,7 +10,8 @@ search, larger factors skip more.
 
 Queries are broadcast in blocks of at most ``block_bytes``, one pass over the table for each block; a shard returns
 its k best for each query, and a window keeps the k best of all shards. Scores are sums in double precision over the
-original components, first to last. Ties go to the smaller vec_id.
+original components, first to last. Ties go to the smaller vec_id: queries whose k-th best may tie with vectors that
+a tree did not keep are compared with its whole shard.
 
 Cases: vectors that are null, zero, of another length than most, or that hold null or non-finite components take no
 part, as candidates or queries; null vec_ids neither; candidates of a query are all rows of other vec_ids; repeated
@@ -34,6 +35,8 @@ SHARD_ROWS = 8192
 BLOCK_BYTES = 32_000_000
 #: Vectors kept beyond k while products come from matrix multiplication, whose last bits vary.
 SPARE = 12
+#: Queries at once of those whose k-th best ties with vectors beyond the kept ones.
+TIED = 64
 _SLACK = 1e-9
 
 _FOUND = "q long, query_id long, vec_id long, score double"
@@ -127,28 +130,48 @@ def _search(batches: Iterator[pa.RecordBatch], block, k: int, factor: float, sha
         first = np.flatnonzero(fresh)
         copies = np.diff(np.append(first, len(ids)))
         distinct = vectors[first]
-        rows, _ = Tree(distinct).search(queries, min(k + 1 + SPARE, len(distinct)), factor)
+        tree = Tree(distinct)
+        kept = min(k + 1 + SPARE, len(distinct))
+        rows, products = tree.search(queries, kept, factor)
+
+        def best(which: np.ndarray, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Of pairs of a query and a distinct vector: query, id and score of each query's k best rows."""
+            score = np.zeros(len(which))
+            for step in range(0, len(which), 50_000):
+                part = slice(step, step + 50_000)
+                score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1]
+            # of equal vectors, the k + 1 smallest ids (one may be the query's own)
+            many = np.minimum(copies[vector], k + 1)
+            item = np.repeat(np.arange(len(which)), many)
+            found = ids[np.repeat(first[vector] - np.cumsum(many) + many, many) + np.arange(len(item))]
+            which, score = which[item], score[item]
+            other = found != query_ids[which]
+            which, score, found = which[other], score[other], found[other]
+            order = np.lexsort((found, -score, which))
+            which, score, found = which[order], score[order], found[order]
+            begin = np.searchsorted(which, which)
+            keep = np.arange(len(which)) - begin < k
+            return which[keep], found[keep], score[keep]
+
         which, at = np.nonzero(rows >= 0)
-        vector = rows[which, at]
-        score = np.zeros(len(which))
-        for step in range(0, len(which), 50_000):
-            part = slice(step, step + 50_000)
-            score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1]
-        # of equal vectors, the k + 1 smallest ids (one may be the query's own)
-        many = np.minimum(copies[vector], k + 1)
-        item = np.repeat(np.arange(len(which)), many)
-        found = ids[np.repeat(first[vector] - np.cumsum(many) + many, many) + np.arange(len(item))]
-        which, score = which[item], score[item]
-        other = found != query_ids[which]
-        which, score, found = which[other], score[other], found[other]
-        order = np.lexsort((found, -score, which))
-        which, score, found = which[order], score[order], found[order]
-        begin = np.searchsorted(which, which)
-        keep = np.arange(len(which)) - begin < k
-        which = which[keep]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers[which]), pa.array(query_ids[which]), pa.array(found[keep]), pa.array(score[keep])], names=["q", "query_id", "vec_id", "score"]
-        )
+        parts = [best(which, rows[which, at])]
+        if kept < len(distinct):
+            # queries whose k-th best may tie with vectors that were not kept: all vectors that reach it
+            which, found, score = parts[0]
+            slack = 8 * distinct.shape[1] * np.finfo(float).eps * np.sqrt(tree.top * np.einsum("ij,ij->i", queries, queries))
+            last = np.full(len(queries), -np.inf)
+            full = np.bincount(which, minlength=len(queries)) == k
+            np.minimum.at(low := np.full(len(queries), np.inf), which, score)
+            last[full] = low[full]
+            tied = last <= products.min(1) + slack
+            parts[0] = tuple(x[~tied[which]] for x in parts[0])
+            again = np.flatnonzero(tied)
+            for step in range(0, len(again), TIED):
+                own = again[step : step + TIED]
+                q, vector = np.nonzero(queries[own] @ distinct.T >= (last[own] - slack[own])[:, None])
+                parts.append(best(own[q], vector))
+        for which, found, score in parts:
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[which]), pa.array(query_ids[which]), pa.array(found), pa.array(score)], names=["q", "query_id", "vec_id", "score"])
 
 
 def usable(vectors: DataFrame) -> DataFrame:

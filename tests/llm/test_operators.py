@@ -156,6 +156,23 @@ def test_viterbi_equals_brute_force():
             assert value(got[a:b]) == pytest.approx(max(map(value, itertools.product(range(3), repeat=b - a))))
 
 
+def test_nearest_neighbours_keeps_ties_of_distinct_vectors(spark):
+    r = np.random.default_rng(3)
+    seen = {tuple(x) for x in r.integers(0, 3, (700, 9)).tolist()} - {(0,) * 9}
+    ids = r.permutation(5000)[: len(seen)].tolist()
+    rows = [(i, [float(x) for x in v]) for i, v in zip(ids, sorted(seen), strict=True)]
+    queries = [*rows[:40], (9001, [1.0] + [0.0] * 8), (9002, [0.1] * 9), (9003, [-1.0] * 9)]
+    schema = "vec_id long, embedding array<double>"
+    for shard_rows in (8192, 100):
+        out = vptree.nearest(spark.createDataFrame(rows, schema), spark.createDataFrame(queries, schema), k=5, shard_rows=shard_rows)
+        found = {(x["query_id"], x["rank"]): (x["vec_id"], x["score"]) for x in out.collect()}
+        expect = {}
+        for q, v in queries:
+            own = sorted((-float(np.cumsum(np.array(v) * w)[-1]), i) for i, w in rows if i != q)
+            expect |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(own[:5])}
+        assert found == expect
+
+
 def test_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -636,8 +636,10 @@ def path_encrypt_ecb(spark, d):
 
 @register("SELECT doc_id, sha256(text) AS digest FROM documents")
 def blob_gcm_roundtrip(spark, d):
-    key = F.unhex(F.lit(blobs.derive_key("secret", "0" * 64, 1000).hex()))
+    """Encrypted and decrypted again, each blob with the key of its own id."""
     rows = fx.table(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("c"), F.sha2("text", 256).alias("id"))
+    rows = rows.withColumn("key", blobs.derived_key(F.col("id"), "secret"))
+    key = F.col("key")
     return rows.select("doc_id", F.sha2(blobs.decrypt_gcm(blobs.encrypt_gcm(F.col("c"), key, F.col("id")), key, F.col("id")), 256).alias("digest"))
 
 

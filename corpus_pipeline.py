@@ -58,7 +58,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: A trained classifier and a tokenizer are not SQL; the tests hold every stage against brute force.
+#: A trained classifier and a tokenizer are not SQL. Tests hold the stages' operators against brute force; none runs the
+#: stages or ``run`` itself.
 ORACLE_SQL = None
 
 

@@ -4,24 +4,40 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no checkpoint folder (tests, a laptop).
+#: Used only where the session names no checkpoint folder and has one machine (tests, a laptop).
 DEFAULT_DIR = "file:///tmp/checkpoints"
 
 _scratch: list[tuple[SparkSession, str]] = []
+_paths: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a default is set where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a local default where it is unset and there is no other machine."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = DEFAULT_DIR
-        spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def file_system(uri: str):
+    """Arrow's file system for a URI, and the path in it."""
+    from pyarrow import fs
+
+    if "://" not in uri:
+        uri = uri.replace("file:", "", 1)
+        return fs.LocalFileSystem(), uri
+    if uri.startswith("file://"):
+        return fs.LocalFileSystem(), uri[len("file://") :]
+    return fs.FileSystem.from_uri(uri)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the driver's process ends."""
     path = f"{shared_dir(spark)}/tallystone/{name}-{uuid.uuid4().hex}"
@@ -36,7 +52,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    _paths[found] = path
+    return found
+
+
+def adopt(frame: DataFrame, source: DataFrame) -> DataFrame:
+    """``frame`` stands for the table of ``source``: to discard it is to discard that."""
+    if source in _paths:
+        _paths[frame] = _paths[source]
+    return frame
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove tables of ``materialize`` that nothing reads any more: all that was made of them has been written."""
+    for frame in frames:
+        path = _paths.pop(frame, None)
+        if path is not None:
+            remove(frame.sparkSession, path)
+            _scratch[:] = [x for x in _scratch if x[1] != path]
 
 
 def remove(spark: SparkSession, path: str) -> None:

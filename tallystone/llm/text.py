@@ -58,6 +58,14 @@ def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) ->
     return df.mapInArrow(function, schema)
 
 
+def unclashing(columns: list[str], names: list[str], prefix: str = "_") -> str:
+    """The shortest run of ``prefix`` before ``names`` that makes none of them one of ``columns`` (in any case)."""
+    taken, found = {c.lower() for c in columns}, prefix
+    while any((found + name).lower() in taken for name in names):
+        found += prefix
+    return found
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, each with about ``limit`` bytes of text at most, never fewer than one row."""
     n = batch.num_rows

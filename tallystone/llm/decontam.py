@@ -7,8 +7,10 @@ the shortest window, are the indexed text, as no other word lies in an occurrenc
 backwards, through the ranks of a wavelet matrix over the Burrows-Wheeler transform; the rows found are located by
 walking to sampled suffix positions; the word ranges they cover are merged into removal spans.
 
-The benchmark is read in blocks of bounded size (``block_bytes`` of text), each its own broadcast, and every shard
-is searched for every block, so neither the driver nor an executor holds more than a block in Python at once.
+A benchmark of at most ``block_bytes`` of text is one broadcast, and documents are read once. A larger one is taken in
+blocks of that size: for each in turn the documents' texts are searched, what is found is written (by hash of the
+text), and the block is given up; then hits and items of all blocks are merged. So neither the driver nor an executor
+holds more than one block (or one longer item) at once.
 
 Cases: null or wordless texts have no words, no hits and no items, and are not contaminated; null item ids are not
 listed among items, but their windows count as hits; repeated items count once; repeated documents each get their
@@ -25,8 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallystone.llm import text as tx
+from tallystone.llm.storage import discard, materialize
 
 WINDOW = 13
 #: Texts of one FM-index.
@@ -168,6 +172,16 @@ class Patterns:
             pairs = np.unique(np.stack([inverse.reshape(-1), item[np.concatenate(of)]], 1), axis=0)
             self.groups.append((unique, np.searchsorted(pairs[:, 0], np.arange(len(unique) + 1)), pairs[:, 1]))
 
+    def items_of(self, windows: np.ndarray) -> np.ndarray:
+        """Sorted names of the items that hold any of these windows (numbered through all groups)."""
+        found, base = [np.zeros(0, np.int64)], 0
+        for unique, offsets, item in self.groups:
+            own = windows[(windows >= base) & (windows < base + len(unique))] - base
+            found.append(np.unique(item[tx.ragged(offsets[own], offsets[own + 1] - offsets[own])]))
+            base += len(unique)
+        numbers = np.unique(np.concatenate(found))
+        return self.names[numbers[numbers >= 0]]
+
     def shortest(self) -> int:
         return min((unique.shape[1] for unique, _, _ in self.groups), default=0)
 
@@ -177,11 +191,11 @@ def _lower(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tx.ascii_lower(raw), offsets
 
 
-def find(words: tx.Words, patterns: Patterns) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Occurrences in a shard: first word and length of each, and the pairs (text, item) they make."""
+def find(words: tx.Words, patterns: Patterns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Occurrences in a shard: first word and length of each, and the distinct pairs (text, window number) they make."""
     none = np.zeros(0, np.int64)
     if not len(words) or not patterns.groups:
-        return none, none, none, none
+        return none, none, np.zeros((0, 2), np.int64)
     import pyarrow.compute as pc
 
     known = pc.fill_null(pc.index_in(words.array(), value_set=patterns.vocabulary), -1).to_numpy() + 1
@@ -197,54 +211,96 @@ def find(words: tx.Words, patterns: Patterns) -> tuple[np.ndarray, np.ndarray, n
     keep = lengths >= patterns.shortest()
     starts, lengths = starts[keep], lengths[keep]
     if not len(starts):
-        return none, none, none, none
+        return none, none, np.zeros((0, 2), np.int64)
     place = tx.ragged(starts, lengths)
     index = FMIndex(known[place].astype(np.int64), np.cumsum(lengths) - lengths, lengths, len(patterns.vocabulary) + 1)
     text_of = words.text_of()
-    at, size, texts, items = [none], [none], [none], [none]
-    for unique, offsets, item in patterns.groups:
+    at, size, pairs = [none], [none], [np.zeros((0, 2), np.int64)]
+    base = 0
+    for unique, _, _ in patterns.groups:
         low, high = index.search(unique)
         count = high - low
-        which = np.repeat(np.arange(len(unique)), count)
         found = place[index.locate(tx.ragged(low, count))]
         at.append(found)
         size.append(np.full(len(found), unique.shape[1], np.int64))
-        many = offsets[which + 1] - offsets[which]
-        texts.append(np.repeat(text_of[found], many))
-        items.append(item[tx.ragged(offsets[which], many)])
-    return tuple(map(np.concatenate, (at, size, texts, items)))
+        pairs.append(np.unique(np.stack([text_of[found], base + np.repeat(np.arange(len(unique)), count)], 1), axis=0))
+        base += len(unique)
+    pairs = np.concatenate(pairs)
+    return np.concatenate(at), np.concatenate(size), pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+
+
+def hits(words: tx.Words, patterns: Patterns) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Whether each word of a shard is hit; and the item names of each text (one array for texts with equal windows)."""
+    at, size, pairs = find(words, patterns)
+    change = np.zeros(len(words) + 1, np.int64)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + size, -1)
+    edge = np.searchsorted(pairs[:, 0], np.arange(len(words.first)))
+    seen: dict[bytes, np.ndarray] = {}
+    names = []
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        own = np.ascontiguousarray(pairs[a:b, 1])
+        key = own.tobytes()
+        if key not in seen:
+            seen[key] = patterns.items_of(own)
+        names.append(seen[key])
+    return np.cumsum(change[:-1]) > 0, names
+
+
+def _result(words: tx.Words, hit: np.ndarray, names: list, spans: pa.DataType) -> list[pa.Array]:
+    total = np.concatenate([[0], np.cumsum(hit)])
+    n_words = words.counts()
+    n_hit = total[words.first[1:]] - total[words.first[:-1]]
+    found = [_spans(hit[a:b]) if k else [] for a, b, k in zip(words.first[:-1], words.first[1:], n_hit, strict=True)]
+    digest = {id(x): hashlib.sha256(",".join(x).encode()).hexdigest() for x in {id(x): x for x in names}.values()}
+    return [
+        pa.array(n_words, pa.int64()),
+        pa.array(n_hit, pa.int64()),
+        pa.array([len(x) for x in names], pa.int64()),
+        pa.array([digest[id(x)] for x in names], pa.string()),
+        pa.array((n_hit > 0) & (20 * n_hit >= n_words), pa.bool_()),
+        pa.array(found, spans),
+    ]
+
+
+def _scan(batches: Iterator[pa.RecordBatch], column: str, block, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in tx.slices(whole, column, SHARD_BYTES):
+            words = tx.Words(*_lower(batch.column(column)), tx.ALNUM)
+            hit, names = hits(words, block.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_result(words, hit, names, schema.field(len(schema) - 1).type)], names=schema.names)
+
+
+def _scan_block(batches: Iterator[pa.RecordBatch], block) -> Iterator[pa.RecordBatch]:
+    """Of the texts that hold windows of one block: their hash, spans of hit words, and item names."""
+    for whole in batches:
+        for batch in tx.slices(whole, "text", SHARD_BYTES):
+            words = tx.Words(*_lower(batch.column("text")), tx.ALNUM)
+            hit, names = hits(words, block.value)
+            total = np.concatenate([[0], np.cumsum(hit)])
+            some = np.flatnonzero(total[words.first[1:]] > total[words.first[:-1]])
+            spans = [_spans(hit[words.first[i] : words.first[i + 1]]) for i in some]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("th").take(pa.array(some)), pa.array(spans, _SPANS), pa.array([names[i].tolist() for i in some], pa.list_(pa.string()))], names=["th", "spans", "items"]
+            )
 
 
-def _scan(batches: Iterator[pa.RecordBatch], column: str, blocks: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _merge(batches: Iterator[pa.RecordBatch], column: str, spans: str, items: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tx.slices(whole, column, SHARD_BYTES):
-            n = batch.num_rows
             words = tx.Words(*_lower(batch.column(column)), tx.ALNUM)
             change = np.zeros(len(words) + 1, np.int64)
-            names: list[set] = [set() for _ in range(n)]
-            for block in blocks:
-                patterns = block.value
-                at, size, texts, items = find(words, patterns)
-                np.add.at(change, at, 1)
-                np.add.at(change, at + size, -1)
-                pairs = np.unique(np.stack([texts, items], 1), axis=0)
-                for t, i in pairs[pairs[:, 1] >= 0]:
-                    names[t].add(patterns.names[i])
-            hit = np.cumsum(change[:-1]) > 0
-            total = np.concatenate([[0], np.cumsum(hit)])
-            n_words = words.counts()
-            n_hit = total[words.first[1:]] - total[words.first[:-1]]
-            spans = [_spans(hit[a:b]) if k else [] for a, b, k in zip(words.first[:-1], words.first[1:], n_hit, strict=True)]
-            digests = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
-            added = [
-                pa.array(n_words, pa.int64()),
-                pa.array(n_hit, pa.int64()),
-                pa.array([len(x) for x in names], pa.int64()),
-                pa.array(digests, pa.string()),
-                pa.array((n_hit > 0) & (20 * n_hit >= n_words), pa.bool_()),
-                pa.array(spans, schema.field(len(schema) - 1).type),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.names)
+            names = []
+            for first, own, listed in zip(words.first[:-1], batch.column(spans).to_pylist(), batch.column(items).to_pylist(), strict=True):
+                for s in own or ():
+                    change[first + s["start"]] += 1
+                    change[first + s["stop"]] -= 1
+                names.append(sorted(set(listed or ())))
+            kept = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in (spans, items)]
+            yield pa.RecordBatch.from_arrays([*kept, *_result(words, np.cumsum(change[:-1]) > 0, names, schema.field(len(schema) - 1).type)], names=schema.names)
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def _spans(hit: np.ndarray) -> list[dict]:
@@ -252,24 +308,34 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"start": int(a), "stop": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list:
-    """The items' windows, as broadcasts of bounded size."""
-    spark = benchmark.sparkSession
-    items = benchmark.select("item_id", "text")
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    count = max(1, -(-total // block_bytes))
-    blocks = []
-    for b in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b)
-        blocks.append(spark.sparkContext.broadcast(Patterns([tuple(r) for r in part.toLocalIterator()], window)))
-    return blocks
+def _patterns(items: DataFrame, window: int):
+    return items.sparkSession.sparkContext.broadcast(Patterns([tuple(r) for r in items.toLocalIterator()], window))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, prefix: str = "") -> DataFrame:
     """``docs`` with the columns of ``RESULT`` behind its own; ``prefix`` goes before their names where they would clash."""
-    blocks = benchmark_blocks(benchmark, window, block_bytes)
+    items = benchmark.select("item_id", "text")
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    count = max(1, -(-total // block_bytes))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + k, t) for k, t in RESULT)])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(schema)
-    return tx.map_arrow(docs, lambda batches: _scan(batches, "text", blocks, arrow), schema)
+    if count == 1:
+        block = _patterns(items, window)
+        return tx.map_arrow(docs, lambda batches: _scan(batches, "text", block, arrow), schema)
+    parts = []
+    texts = docs.select(F.md5("text").alias("th"), "text")
+    for b in range(count):
+        block = _patterns(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b), window)
+        found = tx.map_arrow(texts, lambda batches, block=block: _scan_block(batches, block), "th string, spans array<struct<start:long,stop:long>>, items array<string>")
+        parts.append(materialize(found, "hits"))
+        block.destroy()
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    # repeated texts find the same in a block, so a set of each keeps one
+    own = tx.unclashing(docs.columns, ["th", "spans", "items"])
+    merged = union.groupBy(F.col("th").alias(f"{own}th")).agg(F.flatten(F.collect_set("spans")).alias(f"{own}spans"), F.flatten(F.collect_set("items")).alias(f"{own}items"))
+    merged = materialize(merged, "merged-hits")
+    discard(*parts)
+    joined = docs.join(merged, F.md5(docs["text"]) == merged[f"{own}th"], "left").drop(f"{own}th")
+    return tx.map_arrow(joined, lambda batches: _merge(batches, "text", f"{own}spans", f"{own}items", arrow), schema)

@@ -8,8 +8,10 @@ its distinct vectors form one tree: each node has a vantage point and the median
 distance that the triangle inequality allows there is more than the query's k-th best distance. ``factor`` 1 is exact
 search, larger factors skip more.
 
-Queries are broadcast in blocks of at most ``block_bytes``, one pass over the table for each block; a shard returns
-its k best for each query, and a window keeps the k best of all shards. Scores are sums in double precision over the
+Trees are built once, by the tasks that read the vectors, and written to the shared folder. Shards are dealt out to
+groups of about ``group_rows`` rows, queries to blocks of at most ``block_rows``; every block goes to every group, where a
+task holds the group's trees and one block at a time and returns the k best of the group for each query of the block.
+A window keeps the k best of all groups. Nothing is collected or broadcast. Scores are sums in double precision over the
 original components, first to last. Ties go to the smaller vec_id: queries whose k-th best may tie with vectors that
 a tree did not keep are compared with its whole shard.
 
@@ -21,6 +23,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.llm import text as tx
+from tallystone.llm.storage import discard, materialize
 
 LEAF = 64
 SHARD_ROWS = 8192
-BLOCK_BYTES = 32_000_000
+#: Rows of the shards that one task holds as trees while it searches them.
+GROUP_ROWS = 32_768
+#: Queries that a task searches for at once.
+BLOCK_ROWS = 4096
 #: Vectors kept beyond k while products come from matrix multiplication, whose last bits vary.
 SPARE = 12
 #: Queries at once of those whose k-th best ties with vectors beyond the kept ones.
@@ -45,13 +52,16 @@ _FOUND = "q long, query_id long, vec_id long, score double"
 class Tree:
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
         """``points``: distinct vectors of one shard."""
-        self.vectors = points
         squares = np.einsum("ij,ij->i", points, points)
         self.top = float(squares.max())
         self.points = np.hstack([points, np.sqrt(np.maximum(0.0, self.top - squares))[:, None]])
         self.leaf = leaf
         self.root = self._build(np.arange(len(points)))
 
+    @property
+    def vectors(self) -> np.ndarray:
+        return self.points[:, :-1]
+
     def _build(self, rows: np.ndarray):
         if len(rows) <= self.leaf:
             return rows
@@ -61,7 +71,7 @@ class Tree:
         distance = np.sqrt(((own - own[centre]) ** 2).sum(1))
         half = float(np.median(distance))
         near = distance <= half
-        if near.all():
+        if near.sum() > len(rows) * 15 // 16:  # many at one distance: splits would be too lopsided to help
             return rows
         return rows[centre], half, self._build(rows[near]), self._build(rows[~near])
 
@@ -120,45 +130,43 @@ def _shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.
         yield np.concatenate(ids), np.concatenate(vectors)
 
 
-def _search(batches: Iterator[pa.RecordBatch], block, k: int, factor: float, shard_rows: int) -> Iterator[pa.RecordBatch]:
-    numbers, query_ids, queries = block.value
-    for ids, vectors in _shards(batches, shard_rows):
+class Shard:
+    """The rows of one shard: ids by distinct vector, smallest first, and the tree of these vectors."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.lexsort((ids, *vectors.T[::-1]))
-        ids, vectors = ids[order], vectors[order]
+        self.ids, vectors = ids[order], vectors[order]
         fresh = np.ones(len(ids), bool)
         fresh[1:] = (vectors[1:] != vectors[:-1]).any(1)
-        first = np.flatnonzero(fresh)
-        copies = np.diff(np.append(first, len(ids)))
-        distinct = vectors[first]
-        tree = Tree(distinct)
-        kept = min(k + 1 + SPARE, len(distinct))
-        rows, products = tree.search(queries, kept, factor)
-
-        def best(which: np.ndarray, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Of pairs of a query and a distinct vector: query, id and score of each query's k best rows."""
-            score = np.zeros(len(which))
-            for step in range(0, len(which), 50_000):
-                part = slice(step, step + 50_000)
-                score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1]
-            # of equal vectors, the k + 1 smallest ids (one may be the query's own)
-            many = np.minimum(copies[vector], k + 1)
-            item = np.repeat(np.arange(len(which)), many)
-            found = ids[np.repeat(first[vector] - np.cumsum(many) + many, many) + np.arange(len(item))]
-            which, score = which[item], score[item]
-            other = found != query_ids[which]
-            which, score, found = which[other], score[other], found[other]
-            order = np.lexsort((found, -score, which))
-            which, score, found = which[order], score[order], found[order]
-            begin = np.searchsorted(which, which)
-            keep = np.arange(len(which)) - begin < k
-            return which[keep], found[keep], score[keep]
+        self.first = np.flatnonzero(fresh)
+        self.copies = np.diff(np.append(self.first, len(ids)))
+        self.tree = Tree(vectors[self.first])
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, which: np.ndarray, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs of a query and a distinct vector: query, id and score of each query's k best rows."""
+        distinct, first, copies = self.tree.vectors, self.first, self.copies
+        score = np.zeros(len(which))
+        for step in range(0, len(which), 50_000):
+            part = slice(step, step + 50_000)
+            score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1]
+        # of equal vectors, the k + 1 smallest ids (one may be the query's own)
+        many = np.minimum(copies[vector], k + 1)
+        item = np.repeat(np.arange(len(which)), many)
+        found = self.ids[np.repeat(first[vector] - np.cumsum(many) + many, many) + np.arange(len(item))]
+        which, score = which[item], score[item]
+        other = found != query_ids[which]
+        return top(which[other], found[other], score[other], k)
 
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        distinct = self.tree.vectors
+        kept = min(k + 1 + SPARE, len(distinct))
+        rows, products = self.tree.search(queries, kept, factor)
         which, at = np.nonzero(rows >= 0)
-        parts = [best(which, rows[which, at])]
+        parts = [self.best(query_ids, queries, k, which, rows[which, at])]
         if kept < len(distinct):
             # queries whose k-th best may tie with vectors that were not kept: all vectors that reach it
             which, found, score = parts[0]
-            slack = 8 * distinct.shape[1] * np.finfo(float).eps * np.sqrt(tree.top * np.einsum("ij,ij->i", queries, queries))
+            slack = 8 * distinct.shape[1] * np.finfo(float).eps * np.sqrt(self.tree.top * np.einsum("ij,ij->i", queries, queries))
             last = np.full(len(queries), -np.inf)
             full = np.bincount(which, minlength=len(queries)) == k
             np.minimum.at(low := np.full(len(queries), np.inf), which, score)
@@ -169,9 +177,52 @@ def _search(batches: Iterator[pa.RecordBatch], block, k: int, factor: float, sha
             for step in range(0, len(again), TIED):
                 own = again[step : step + TIED]
                 q, vector = np.nonzero(queries[own] @ distinct.T >= (last[own] - slack[own])[:, None])
-                parts.append(best(own[q], vector))
-        for which, found, score in parts:
-            yield pa.RecordBatch.from_arrays([pa.array(numbers[which]), pa.array(query_ids[which]), pa.array(found), pa.array(score)], names=["q", "query_id", "vec_id", "score"])
+                parts.append(self.best(query_ids, queries, k, own[q], vector))
+        return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def top(which: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k rows of highest score, ties to the smaller id."""
+    order = np.lexsort((found, -score, which))
+    which, score, found = which[order], score[order], found[order]
+    keep = np.arange(len(which)) - np.searchsorted(which, which) < k
+    return which[keep], found[keep], score[keep]
+
+
+def _matrix(column: pa.Array, n: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float64)
+
+
+def _build(batches: Iterator[pa.RecordBatch], shard_rows: int) -> Iterator[pa.RecordBatch]:
+    for ids, vectors in _shards(batches, shard_rows):
+        yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int64()), pa.array([pickle.dumps(Shard(ids, vectors), 5)], pa.binary())], names=["n", "shard"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, limit):
+            part = batch.slice(k, limit)
+            data = part.column("vec_id").to_numpy(zero_copy_only=False), part.column("q").to_numpy(zero_copy_only=False), _matrix(part.column("embedding"), part.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(data, 5)], pa.binary())], names=["block"])
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int, factor: float) -> Iterator[pa.RecordBatch]:
+    """Rows come group by group, a group's shards before the query blocks."""
+    group, held = None, []
+    for batch in batches:
+        for own, is_block, data in zip(batch.column("g").to_pylist(), batch.column("is_block").to_pylist(), batch.column("data"), strict=True):
+            if own != group:
+                group, held = own, []
+            item = pickle.loads(data.as_buffer())
+            if not is_block:
+                held.append(item)
+                continue
+            query_ids, numbers, queries = item
+            found = [shard.search(query_ids, queries, k, factor) for shard in held]
+            if found:
+                which, ids, score = top(*map(np.concatenate, zip(*found, strict=True)), k)
+                yield pa.RecordBatch.from_arrays([pa.array(numbers[which]), pa.array(query_ids[which]), pa.array(ids), pa.array(score)], names=["q", "query_id", "vec_id", "score"])
+    tx.release()
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -187,23 +238,20 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (sizes[0]["d"] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, shard_rows: int = SHARD_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def nearest(
+    vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, shard_rows: int = SHARD_ROWS, group_rows: int = GROUP_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of ``vectors`` for each row of ``queries`` (both vec_id, embedding)."""
-    spark = vectors.sparkSession
-    queries = queries.distinct()
-    count, width = queries.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
-    blocks = max(1, -(-count * width * 8 // block_bytes))
-    found = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)) == b)
-        rows = part.orderBy("vec_id", "embedding").toArrow()
-        ids = rows["vec_id"].to_numpy()
-        matrix = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), max(1, width))
-        block = spark.sparkContext.broadcast((np.arange(len(ids)) + (b << 32), ids, matrix))
-        if len(ids):
-            own = tx.map_arrow(vectors, lambda batches, block=block: _search(batches, block, k, factor, shard_rows), _FOUND)
-            found = own if found is None else found.unionByName(own)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
+    shards = materialize(tx.map_arrow(vectors, lambda b: _build(b, shard_rows), "n long, shard binary"), "trees")
+    total = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    groups = max(1, -(-total // group_rows))
+    # several rows of one id are several queries: two hashes tell them apart
+    asked = queries.distinct().withColumn("q", F.xxhash64("vec_id", "embedding"))
+    blocks = materialize(tx.map_arrow(asked.coalesce(max(1, min(groups, asked.sparkSession.sparkContext.defaultParallelism))), lambda b: _blocks(b, block_rows), "block binary"), "queries")
+    held = shards.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int").alias("g"), F.lit(0).alias("is_block"), F.col("shard").alias("data"))
+    asks = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(1).alias("is_block"), F.col("block").alias("data"))
+    met = held.unionByName(asks).repartition(groups, "g").sortWithinPartitions("g", "is_block")
+    found = materialize(tx.map_arrow(met, lambda b: _search(b, k, factor), _FOUND), "found")
+    discard(shards, blocks)
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -3,12 +3,13 @@
 A text is lower-cased, everything but letters and digits becomes one space, and the features are the distinct
 character n-grams (``SIZES``) that hold no space except at their ends. From a bounded sample of labelled rows (at
 most ``sample`` of each class, those with the smallest hash of doc_id) the number of documents of each class that
-have an n-gram gives its log-count ratio; n-grams whose ratio stands out of chance by ``deviations`` are kept, at
-most ``features`` of them. A logistic regression over these, each scaled by its ratio, is fitted on the sample and
+have an n-gram gives its log-count ratio; n-grams of at least ``least`` documents whose ratio stands out of chance by
+``deviations`` are kept, at most ``features`` of them (1, 0 and None: all). A logistic regression over these, each scaled by its ratio, is fitted on the sample and
 its intercept moved to the classes' shares among all labelled rows. Scoring reads every whole text once.
 
-Cases: null or empty texts get the score of a text without features; repeated rows get equal scores; labels that
-are null, or of documents that don't exist, teach nothing; without both classes every score is the share of toxic
+Cases: null or empty texts get the score of a text without features; repeated rows get equal scores; an id with several
+labels is toxic if one of them says so; of several documents with one id that with the smallest hash of its text
+teaches; labels that are null, or of documents that don't exist, teach nothing; without both classes every score is the share of toxic
 rows (0 if there are no labels); an empty table gives no rows; other columns pass through, whatever their names.
 """
 
@@ -31,6 +32,7 @@ SIZES = (3, 4, 5)
 SAMPLE = 2000
 FEATURES = 40_000
 DEVIATIONS = 3.0
+LEAST = 3
 #: Texts are handled in slices of about so many bytes: every character starts up to three n-grams of 12 bytes.
 SLICE_BYTES = 1_500_000
 
@@ -135,18 +137,22 @@ def _vectors(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), lists], names=["doc_id", "toxic", "features"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, deviations: float = DEVIATIONS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int | None = FEATURES, deviations: float = DEVIATIONS, least: int = LEAST) -> Model:
     """Fit on ``labels(doc_id, toxic)`` and the texts of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
-    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     nothing = np.zeros(0, _U), np.zeros(0)
     if len(shares) < 2:
         return Model(*nothing, 500.0 if shares.get(1) else -500.0)
     picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
-    chosen = picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"])  # at most 2 * sample ids: small enough to broadcast
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").repartition(2 * spark.sparkContext.defaultParallelism)
+    chosen = picked[0].unionByName(picked[1])  # at most 2 * sample ids: small enough to broadcast
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # one row an id, chosen by hashes before any text is shuffled
+    first = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("h"))
+    texts = rows.join(F.broadcast(first), "doc_id").where(F.xxhash64("text") == F.col("h")).drop("h").dropDuplicates(["doc_id"])
+    texts = texts.repartition(2 * spark.sparkContext.defaultParallelism)
     texts = materialize(texts, "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     prior = float(np.log(shares[1] / shares[0]))
@@ -154,8 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
         return Model(*nothing, prior)
     bad, good = (F.col("bad") + 1) / (sizes[1] + 2), (F.col("good") + 1) / (sizes[0] + 2)
     counted = tx.map_arrow(texts, _count, "gram long, bad long, good long").groupBy("gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    ratio = counted.where("bad + good >= 3").select("gram", F.log(bad / good).alias("ratio"), (F.log(bad / good) / F.sqrt(1 / (F.col("bad") + 1) + 1 / (F.col("good") + 1))).alias("z"))
-    best = ratio.where(F.abs("z") >= deviations).orderBy(F.abs("z").desc(), "gram").limit(features).select("gram", "ratio").collect()
+    ratio = counted.where(F.col("bad") + F.col("good") >= least).select("gram", F.log(bad / good).alias("ratio"), (F.log(bad / good) / F.sqrt(1 / (F.col("bad") + 1) + 1 / (F.col("good") + 1))).alias("z"))
+    best = ratio.where(F.abs("z") >= deviations).orderBy(F.abs("z").desc(), "gram")
+    best = (best if features is None else best.limit(features)).select("gram", "ratio").collect()
     if not best:
         return Model(*nothing, prior)
     hashes = np.array([r[0] for r in best], np.int64).view(_U)

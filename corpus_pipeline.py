@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from tallystone.llm import decontam, minhash, packing, substrings, toxicity
 from tallystone.llm.queries import table, tokenizer_path
 from tallystone.llm.storage import materialize
+from tallystone.llm.text import unclashing
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go; it learns as op1 does, from labels whose fold is not 0."""
     labels = table(spark, sf_dir, "labels").where(toxicity.fold(F.col("doc_id"), 5) != 0)
     model = toxicity.train(docs, labels)
-    return toxicity.score(docs, model, prefix="_").where("_predicted = 0").select(*docs.columns)
+    own = unclashing(docs.columns, ["score", "predicted"])
+    return toxicity.score(docs, model, prefix=own).where(F.col(f"{own}predicted") == 0).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +32,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages of 50 words and more that a document with a smaller doc_id has go; untouched texts stay as they are."""
-    found = substrings.dedup_substrings(docs, prefix="_")
-    text = F.when(F.col("_n_removed") > 0, F.col("_kept_text")).otherwise(F.col("text"))
-    found = found.withColumn("text", text)
+    own = unclashing(docs.columns, ["n_words", "n_removed", "kept_sha256", "kept_text", "repeats"])
+    found = substrings.dedup_substrings(docs, prefix=own)
+    changed = F.col(f"{own}n_removed") > 0
+    found = found.withColumn("text", F.when(changed, F.col(f"{own}kept_text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        chars = F.when(F.col("_n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        chars = F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are contaminated with benchmark items go."""
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), prefix="_")
-    return found.where("NOT _contaminated").select(*docs.columns)
+    own = unclashing(docs.columns, [name for name, _ in decontam.RESULT])
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), prefix=own)
+    return found.where(~F.col(f"{own}contaminated")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

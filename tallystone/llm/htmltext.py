@@ -4,21 +4,28 @@ A page becomes the sequence of its text blocks: text between block-level tags, w
 space collapsed. A block's input is its tag path (tags, and words of class, id and role of its ancestors, hashed),
 its words (all of them, hashed), and a few measures (length, share of linked text, punctuation, place). The network
 reads the sequence in both directions, so each label rests on the whole document. Blocks labelled as main text are
-joined by one space; scripts, styles and other invisible elements never make blocks.
+joined by one space; scripts, styles and other raw elements never make blocks.
 
 The network is trained here, with fixed seeds, on pages generated from a grammar of usual layouts (``training_page``),
 whose blocks are known to be article or not.
 
 Cases: null or empty html, or pages without main text, give an empty text; broken markup (unclosed or stray tags and
-quotes, cut-off comments) is read to the end like a browser would; repeated rows get equal results; an empty table
+quotes, cut-off comments) is read to the end, in linear time; raw elements (``RAW``) are skipped to their end tag or
+the page's end; drawings and closed templates hold no text, other elements (formulas, fallbacks of media) do; repeated rows get equal results; an empty table
 gives no rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as references
+import inspect
+import io
 import random
 import re
+import sys
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,19 +33,22 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallystone.llm import text as tx
+from tallystone.llm.storage import file_system, settle, shared_dir
 
 PATH, WORDS, MEASURES = 96, 24, 8
 HIDDEN = 24
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INVISIBLE = frozenset("script style noscript template title iframe object svg math canvas audio video textarea".split())
+RAW = frozenset("script style noscript title iframe textarea noembed noframes xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+#: Block elements that never belong to a drawing.
+BREAKS_OUT = frozenset("article aside blockquote body div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
 CLOSED_BY = {
     "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
     "li": frozenset(["li"]),
@@ -50,11 +60,11 @@ CLOSED_BY = {
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
 }
 
-_TAG = re.compile(
-    r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*+(?:>|\Z)"
-    r"|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>)",
-    re.S,
-)
+#: A tag whose quoted values hold no angle brackets; ``_tag_end`` finds the ends of others.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_PLAIN = re.compile(r"[^>\"']*+")
+_COMMENT_END = re.compile("--!?>")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 
@@ -64,111 +74,212 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
-@lru_cache(20_000)
-def _path_vector(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    """The last element's tag, the bag of all ancestors' tags, and the bag of their class and id words."""
-    out = np.zeros(PATH, np.float32)
-    third = PATH // 3
-    if path:
-        out[_hash("last " + path[-1][0]) % third] = 1
-    for element in path:
-        out[third + _hash("tag " + element[0]) % third] = 1
-        for token in element[1:]:
-            out[2 * third + _hash("name " + token) % third] += 1
-    return np.minimum(out, 2)
-
-
-def leaf_blocks(page: str) -> list[tuple[str, tuple, float]]:
-    """Text, path and share of linked characters of each block of a page, in order."""
-    blocks: list[tuple[str, tuple, float]] = []
-    stack: list[tuple[str, ...]] = []
+class Element:
+    """An open element as a leaf of the tree of its ancestors; pages of one layout share these."""
+
+    __slots__ = ("children", "name", "names", "parent", "vector")
+
+    def __init__(self, parent: Element | None, name: str, names: tuple[str, ...]):
+        self.parent, self.name, self.names = parent, name, names
+        self.children: dict[tuple, Element] = {}
+        self.vector: np.ndarray | None = None
+
+    def path(self) -> np.ndarray:
+        """The last element's tag, the bag of all ancestors' tags, and how often their class and id words occur."""
+        third = PATH // 3
+        todo, node = [], self
+        while node.vector is None and node.parent is not None:
+            todo.append(node)
+            node = node.parent
+        if node.vector is None:
+            node.vector = np.zeros(PATH, np.float32)
+        for child in reversed(todo):
+            out = child.parent.vector.copy()
+            out[:third] = 0
+            out[_hash("last " + child.name) % third] = 1
+            out[third + _hash("tag " + child.name) % third] = 1
+            for token in child.names:
+                out[2 * third + _hash("name " + token) % third] += 1
+            child.vector = out
+        return self.vector
+
+
+class Elements:
+    """All elements seen, until they are more than ``limit``."""
+
+    def __init__(self, limit: int = 20_000):
+        self.limit, self.count, self.root = limit, 0, Element(None, "", ())
+
+    def page(self) -> Element:
+        if self.count > self.limit:
+            self.count, self.root = 0, Element(None, "", ())
+        return self.root
+
+    def child(self, parent: Element, name: str, names: tuple[str, ...]) -> Element:
+        found = parent.children.get((name, names))
+        if found is None:
+            found = parent.children[name, names] = Element(parent, name, names)
+            self.count += 1
+        return found
+
+
+_elements = Elements()
+
+
+def _tag_end(page: str, at: int, dead: set[int]) -> int:
+    """Place of the ``>`` that ends the tag whose name ends at ``at``: the first outside quotes, or else the first.
+
+    ``dead`` holds places behind quotes from which no end was found before, so nothing is read twice.
+    """
+    seen, place = [], _PLAIN.match(page, at).end()
+    while place < len(page) and page[place] != ">":
+        close = page.find(page[place], place + 1)
+        if close < 0 or close in dead:
+            break
+        seen.append(close)
+        place = _PLAIN.match(page, close + 1).end()
+    else:
+        if place < len(page):
+            return place
+    dead.update(seen)
+    return page.find(">", at)
+
+
+def leaf_blocks(page: str) -> list[tuple[str, Element, float]]:
+    """Text, innermost block element and share of linked characters of each block of a page, in order.
+
+    Time and memory are linear in the page's length, whatever its markup.
+    """
+    blocks: list[tuple[str, Element, float]] = []
+    # open elements; of those that aren't inline also the shared nodes; and how many there are of each name
+    stack: list[str] = []
+    nodes: list[Element] = [_elements.page()]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, depth, at, n = 0, 0, 0, len(page)
-    search = _TAG.search
+    dead: set[int] = set()
+    raw_end: dict[str, int] = {}
+    linked, n, at, text_from = 0, len(page), 0, 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                path = tuple(e for e in stack if e[0] not in INLINE)
-                blocks.append((text, path, min(1.0, linked / len(text))))
+                blocks.append((text, nodes[-1], min(1.0, linked / len(text))))
             parts.clear()
         linked = 0
 
-    def add(text: str) -> None:
+    def add(text: str, decode: bool = True) -> None:
         nonlocal linked
-        if text:
-            text = references.unescape(text)
+        if text and not opened["template"] and not opened["svg"]:
+            if decode and "&" in text:
+                text = references.unescape(text)
             parts.append(text)
-            if depth:
+            if opened["a"]:
                 linked += len(text.strip())
 
-    while at < n:
-        m = search(page, at)
-        if m is None:
-            add(page[at:])
+    def pop() -> str:
+        name = stack.pop()
+        opened[name] -= 1
+        if name not in INLINE:
+            nodes.pop()
+        return name
+
+    def closes_later(name: str, start: int) -> int:
+        """Place behind the end tag of this name, -1 if there is none."""
+        found = raw_end.get(name, 0)
+        if 0 <= found <= start:
+            m = _end_tag(name).search(page, start)
+            found = raw_end[name] = m.end() if m else -1
+        return found
+
+    while True:
+        at = page.find("<", at)
+        if at < 0:
             break
-        add(page[at : m.start()])
-        at = m.end()
-        closing, name, rest = m.group(1), m.group(2), m.group(3)
-        if name is None:
-            closing, name, rest = m.group(4), m.group(5), m.group(6)
-            if name is None:
-                if m.group(0).startswith("<![CDATA["):
-                    add(references.escape(m.group(0)[9:-3]))
+        m = _TAG.match(page, at)
+        if m is None:
+            head = page[at : at + 9]
+            if head.startswith(("<!", "<?")):
+                add(page[text_from:at])
+                if head.startswith("<!--"):
+                    if head.startswith(("<!-->", "<!--->")):
+                        at = page.index(">", at) + 1
+                    else:
+                        end = _COMMENT_END.search(page, at + 4)
+                        at = end.end() if end else n
+                elif head == "<![CDATA[":
+                    end = page.find("]]>", at)
+                    add(page[at + 9 : end if end >= 0 else n], decode=False)
+                    at = end + 3 if end >= 0 else n
+                else:
+                    end = page.find(">", at)
+                    at = end + 1 if end >= 0 else n
+                text_from = at
+                continue
+            m = _NAME.match(page, at)
+            end = _tag_end(page, m.end(), dead) if m else -1
+            if end < 0:
+                if m and page.find(">", at) < 0:
+                    break  # no tag can end any more
+                at += 1
                 continue
+            closing, name, rest, after = m.group(1), m.group(2), page[m.end() : end], end + 1
+        else:
+            closing, name, rest, after = m.group(1), m.group(2), m.group(3), m.end()
+        add(page[text_from:at])
+        at = text_from = after
         name = name.lower()
+        inline = name in INLINE
         if closing:
-            if name not in INLINE:
+            if not inline:
                 flush()
             if name == "br":
                 parts.append(" ")
-            if stack and stack[-1][0] == name:
-                stack.pop()
-                depth -= name == "a"
-            elif any(e[0] == name for e in stack):
-                while stack:
-                    gone = stack.pop()[0]
-                    depth -= gone == "a"
-                    if gone == name:
-                        break
+            if opened[name]:
+                while pop() != name:
+                    pass
             continue
-        if name in INVISIBLE and not rest.rstrip().endswith("/"):
-            if name not in ("svg", "math", "canvas", "audio", "video", "object", "textarea", "iframe"):
+        whole = rest.rstrip().endswith("/")
+        if name in RAW and not whole:
+            if name not in ("iframe", "textarea"):
                 flush()
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
+            end = closes_later(name, at)
+            at = text_from = end if end >= 0 else n
             continue
         if name == "br":
             parts.append(" ")
             continue
-        if name not in INLINE:
+        if not inline:
             flush()
-            while stack and name in CLOSED_BY.get(_innermost_block(stack), ()):
-                while stack[-1][0] in INLINE:
-                    depth -= stack.pop()[0] == "a"
-                stack.pop()
-        if name in VOID or rest.rstrip().endswith("/") and name not in ("p", "div", "a"):
+            while opened["svg"] and name in BREAKS_OUT:  # as in browsers: a drawing ends where the page goes on
+                pop()
+            while len(nodes) > 1 and name in CLOSED_BY.get(nodes[-1].name, ()):
+                while stack[-1] in INLINE:
+                    pop()
+                pop()
+        if name in VOID or whole and name not in ("p", "div", "a"):
+            continue
+        if name == "template" and closes_later(name, at) < 0:
             continue
-        names = []
-        for a in _ATTRIBUTE.finditer(rest) if "=" in rest else ():
-            names += _TOKEN.findall((a.group(2) or a.group(3) or a.group(4) or "").lower())
-        if name == "a":
-            depth += 1
-        stack.append((name, *names))
+        stack.append(name)
+        opened[name] += 1
+        if not inline:
+            names = []
+            for a in _ATTRIBUTE.finditer(rest) if "=" in rest else ():
+                names += _TOKEN.findall((a.group(2) or a.group(3) or a.group(4) or "").lower())
+            nodes.append(_elements.child(nodes[-1], name, tuple(names)))
+    add(page[text_from:])
     flush()
     return blocks
 
 
-def _innermost_block(stack: list[tuple[str, ...]]) -> str:
-    for element in reversed(stack):
-        if element[0] not in INLINE:
-            return element[0]
-    return ""
+@lru_cache(64)
+def _end_tag(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\b[^>]*>", re.I)
 
 
-def features(pages: list[list[tuple[str, tuple, float]]]) -> tuple[np.ndarray, np.ndarray]:
+def features(pages: list[list[tuple[str, Element, float]]]) -> tuple[np.ndarray, np.ndarray]:
     """Inputs of all blocks, page by page, and the pages' offsets."""
     counts = np.array([len(p) for p in pages], np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
@@ -179,7 +290,8 @@ def features(pages: list[list[tuple[str, tuple, float]]]) -> tuple[np.ndarray, n
         return out, first
     texts = [b[0] for b in blocks]
     for i, b in enumerate(blocks):
-        out[i, :PATH] = _path_vector(b[1])
+        out[i, :PATH] = b[1].path()
+    np.minimum(out[:, :PATH], 2, out=out[:, :PATH])
     raw, offsets = tx.utf8(pa.array(texts, pa.large_string()))
     words = tx.Words(tx.ascii_lower(raw), offsets, tx.ALNUM)
     hashes = words.hashes()
@@ -451,6 +563,26 @@ def train(pages: int = 1500, epochs: int = 6, batch: int = 24, hidden: int = HID
     return model
 
 
+def kept_model(spark: SparkSession) -> Model:
+    """``train()``, once for a shared folder: the weights are kept there, under a name of this module's source."""
+    fs, folder = file_system(f"{shared_dir(spark)}/tallystone/models")
+    path = f"{folder}/htmltext-{hashlib.sha256(inspect.getsource(sys.modules[__name__]).encode()).hexdigest()[:16]}.npz"
+    if fs.get_file_info(path).is_file:
+        with fs.open_input_stream(path) as stored:
+            saved = np.load(io.BytesIO(stored.read()))
+        wf, uf, bf, wb, ub, bb, out, bias = (saved[f"p{i}"] for i in range(8))
+        return Model(Direction(wf, uf, bf), Direction(wb, ub, bb), out, bias)
+    model = train()
+    data = io.BytesIO()
+    np.savez(data, **{f"p{i}": p for i, p in enumerate(model.parameters())})
+    fs.create_dir(folder, recursive=True)
+    temporary = f"{path}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as out:
+        out.write(data.getvalue())
+    settle(fs, temporary, path)
+    return model
+
+
 def main_texts(pages: list[str | None], model: Model) -> list[str]:
     blocks = [leaf_blocks(p or "") for p in pages]
     x, first = features(blocks)
@@ -469,5 +601,5 @@ def extract(pages: DataFrame, model: Model | None = None, prefix: str = "") -> D
     """``pages`` (with an ``html`` column) with ``text`` and ``n_chars`` behind its columns."""
     schema = T.StructType([*pages.schema.fields, T.StructField(f"{prefix}text", T.StringType()), T.StructField(f"{prefix}n_chars", T.LongType())])
     arrow = to_arrow_schema(schema)
-    shared = pages.sparkSession.sparkContext.broadcast(model or train())
+    shared = pages.sparkSession.sparkContext.broadcast(model or kept_model(pages.sparkSession))
     return tx.map_arrow(pages, lambda b: _extract(b, shared, arrow), schema)

@@ -38,6 +38,20 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def settle(fs, temporary: str, path: str) -> None:
+    """Give a finished file its name; what an earlier attempt left there, which has the same bytes, makes way."""
+    for _ in range(3):
+        if fs.get_file_info(path).is_file:
+            fs.delete_file(path)
+        try:
+            fs.move(temporary, path)
+            return
+        except OSError:  # another attempt was faster, on a store that doesn't replace files
+            if not fs.get_file_info(path).is_file:
+                raise
+    fs.delete_file(temporary)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the driver's process ends."""
     path = f"{shared_dir(spark)}/tallystone/{name}-{uuid.uuid4().hex}"

@@ -51,7 +51,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), shard_bytes=8_000_000)
+    found = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -1,21 +1,26 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Records are range-sorted by page_id. Shard bounds come from a histogram: the span of page_id is cut into ``CELLS``
-equal cells, payload bytes are summed by cell, and consecutive cells fill shards of about ``shard_bytes``; a cell that
-alone is larger is divided further by a hash of the record. So bounds and shards depend on the records only.
+Records are range-sorted by page_id. Shard bounds come from a histogram of payload bytes: the span of page_id is cut
+into equal cells (four for each shard that its bytes would fill, at most ``CELLS``), every cell of more than half of
+``shard_bytes`` is cut again in this way, and so on, until cells are small enough or hold one page_id; consecutive cells
+fill shards of about ``shard_bytes``. Only the records of one page_id that alone are larger than a shard are divided
+further, by a hash. So bounds and shards depend on the records only. The driver and a broadcast hold three numbers for
+each cell, a few cells for a shard.
 
 Each shard is sorted by (page_id, url, digest) and written by one task as files of gzip members, one member per
 record, rolled when their compressed size passes ``file_bytes``. A task writes to temporary names of its own attempt
 and renames each file when it is done, then commits the shard's manifest (file names, records, bytes, SHA-256) the
-same way; a shard that has a manifest is complete, and a repeated attempt writes the same bytes again. A last rename
-puts ``_MANIFEST.json`` over all shards' manifests. Files are reached through Arrow file systems, so any shared
-store will do.
+same way; a shard that has a manifest is complete, and a repeated attempt writes the same bytes again and puts them in
+place of the first. The table ``_files`` holds all shards' manifests; a last rename puts ``_MANIFEST.json`` beside it, with
+its totals and a digest of its rows. Readers compare both, and every file's SHA-256 and number of records. Files are
+reached through Arrow file systems.
 
 Records: ``response`` with HTTP headers made anew, or ``revisit`` of the response that has an equal payload. Of equal
 payloads of at least ``MIN_REVISIT`` bytes the one with the smallest (page_id, url) is the response.
 
 Cases: null html is an empty payload; a null page_id sorts first, is written as ``-``, reads back as null, and
-is a response only if all its equals are null too; of repeated equal rows one is the response; an empty table gives
+is a response only if all its equals are null too; of repeated equal rows one is the response; a payload is held in
+memory while it is written or read; an empty table gives
 an empty manifest and no rows; other columns are ignored.
 """
 
@@ -26,19 +31,22 @@ import io
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.storage import materialize, new_path
+from tallystone.llm import text as tx
+from tallystone.llm.storage import discard, file_system, materialize, new_path, settle
 
 MIN_REVISIT = 100
 CELLS = 4096
 SHARD_BYTES = 64_000_000
-FILE_BYTES = 16_000_000
+FILE_BYTES = 4_000_000
 LEVEL = 6
 #: Pages carry no time of their own.
 DATE = "1970-01-01T00:00:00Z"
@@ -48,18 +56,6 @@ _READ = "page_id long, url string, record_type string, payload_bytes long, paylo
 _MISSING = "-"
 
 
-def file_system(uri: str):
-    """Arrow's file system for a URI, and the path in it."""
-    from pyarrow import fs
-
-    if "://" not in uri:
-        uri = uri.replace("file:", "", 1)
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file://"):
-        return fs.LocalFileSystem(), uri[len("file://") :]
-    return fs.FileSystem.from_uri(uri)
-
-
 def record_id(page_id: str, url: str, digest: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(chr(0).join((page_id, url, digest, kind)).encode()).digest()[:16])}>"
 
@@ -141,7 +137,7 @@ class Roller:
             return
         self.sink.close()
         self.sink = None
-        self.fs.move(self._temporary(self.name), f"{self.root}/{self.name}")
+        settle(self.fs, self._temporary(self.name), f"{self.root}/{self.name}")
         self.done.append({"shard": self.shard, "path": self.name, "records": self.records, "bytes": self.size, "sha256": self.hash.hexdigest()})
 
     def commit(self) -> list[dict]:
@@ -149,7 +145,7 @@ class Roller:
         name = f"shard-{self.shard:06d}.manifest.json"
         with self.fs.open_output_stream(self._temporary(name)) as out:
             out.write(json.dumps(self.done, sort_keys=True).encode())
-        self.fs.move(self._temporary(name), f"{self.root}/{name}")
+        settle(self.fs, self._temporary(name), f"{self.root}/{name}")
         return self.done
 
 
@@ -177,25 +173,64 @@ def _write(frames: Iterator[pd.DataFrame], root: str, limit: int, level: int) ->
         yield pd.DataFrame(roller.commit())
 
 
-def shards(pages: DataFrame, shard_bytes: int):
-    """A function that gives rows with page_id, url and digest an int ``shard`` that rises with page_id."""
-    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return lambda rows: rows.withColumn("shard", F.lit(0))
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.when(F.col("page_id").isNull(), F.lit(-1)).otherwise(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width))).cast("int")
-    sizes = pages.groupBy(cell.alias("cell")).agg(F.sum(F.col("size") + 500).alias("bytes")).collect()  # at most CELLS + 1 rows
-    shard, filled, first, parts = -1, shard_bytes, {}, {}
-    for c, size in sorted((r["cell"], r["bytes"]) for r in sizes):
+def _cells(pages: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """First page_id and bytes of cells that together hold all page_ids; in order."""
+    weight = F.col("size") + 500
+    known = pages.where("page_id IS NOT NULL").select("page_id", weight.alias("size"))
+    low, high, total = known.agg(F.min("page_id"), F.max("page_id"), F.sum("size")).first()
+    done: list[tuple[int, int]] = []
+    spans = [] if low is None else [(low, high, total)]
+    while spans:
+        widths = [-(-(b - a + 1) // min(CELLS, max(2, -(-4 * size // shard_bytes)))) for a, b, size in spans]
+        shared = pages.sparkSession.sparkContext.broadcast((np.array([a for a, _, _ in spans], np.int64), np.array([b for _, b, _ in spans], np.int64), np.array(widths, np.uint64)))
+
+        def cut(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            """Number of the span and of the cell in it."""
+            starts, ends, widths = shared.value
+            for batch in batches:
+                page = batch.column("page_id").to_numpy(zero_copy_only=False)
+                span = np.searchsorted(starts, page, side="right") - 1
+                inside = (span >= 0) & (page <= ends[np.maximum(span, 0)])
+                page, span = page[inside], span[inside]
+                cell = ((page - starts[span]).view(np.uint64) // widths[span]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(span.astype(np.int32)), pa.array(cell), batch.column("size").filter(pa.array(inside))], names=["span", "cell", "size"])
+
+        counted = tx.map_arrow(known, cut, "span int, cell int, size long").groupBy("span", "cell").agg(F.sum("size").alias("bytes")).toArrow()
+        again = []
+        for span, cell, size in zip(*(counted[c].to_pylist() for c in ("span", "cell", "bytes")), strict=True):
+            a = spans[span][0] + cell * widths[span]
+            b = min(a + widths[span] - 1, spans[span][1])
+            if 2 * size > shard_bytes and a < b:
+                again.append((a, b, size))
+            else:
+                done.append((a, size))
+        spans = sorted(again)
+    return sorted(done)
+
+
+def shards(pages: DataFrame, shard_bytes: int) -> Callable[[Column, Column, Column], Column]:
+    """A function of page_id, url and digest that gives a shard, which rises with page_id; null page_ids come first."""
+    nulls = pages.where("page_id IS NULL").agg(F.coalesce(F.sum(F.col("size") + 500), F.lit(0))).first()[0]
+    shard, filled, first, parts = -1, shard_bytes, [], []
+    cells = _cells(pages, shard_bytes)
+    for _, size in [(None, nulls), *cells]:
         n = max(1, round(size / shard_bytes))
         if n > 1 or filled + size > shard_bytes:
             shard, filled = shard + 1, 0
-        first[c], parts[c] = shard, n
+        first.append(shard)
+        parts.append(n)
         filled = shard_bytes if n > 1 else filled + size
         shard += n - 1
-    bounds = pages.sparkSession.createDataFrame([(c, first[c], parts[c]) for c in first], "cell int, first int, parts int")
-    spread = F.pmod(F.xxhash64("page_id", "url", "digest"), F.col("parts")).cast("int")
-    return lambda rows: rows.withColumn("cell", cell).join(F.broadcast(bounds), "cell").withColumn("shard", F.col("first") + spread).drop("cell", "first", "parts")
+    shared = pages.sparkSession.sparkContext.broadcast((np.array([a for a, _ in cells], np.int64), np.array(first, np.int64), np.array(parts, np.int64)))
+
+    @F.pandas_udf("int")
+    def place(page_id: pd.Series, none: pd.Series, spread: pd.Series) -> pd.Series:
+        starts, first, parts = shared.value
+        cell = np.where(none, 0, np.searchsorted(starts, page_id.to_numpy(), side="right"))
+        return pd.Series(first[cell] + spread.to_numpy() % parts[cell], dtype="int32")
+
+    # beside nulls, numbers would reach pandas as floats
+    return lambda page_id, url, digest: place(F.coalesce(page_id, F.lit(0)), page_id.isNull(), F.pmod(F.xxhash64(page_id, url, digest), F.lit(1 << 30)))
 
 
 def write(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, level: int = LEVEL) -> DataFrame:
@@ -215,11 +250,12 @@ def write(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, file_byte
     )
     repeated = materialize(repeated, "repeated")
     chosen = F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("url").eqNullSafe(F.col("refers_url"))
-    place = shards(narrow, shard_bytes)
+    shard = shards(narrow, shard_bytes)(F.col("page_id"), F.col("url"), F.col("digest")).alias("shard")
     # marks of repeated payloads travel as rows of their own, so each html goes through one exchange only
-    marks = place(narrow.join(repeated, "digest").select("page_id", "url", "digest", "refers_to", "refers_url", chosen.alias("chosen")).dropDuplicates(["page_id", "url", "digest"]))
+    marks = narrow.join(repeated, "digest").select("page_id", "url", "digest", "refers_to", "refers_url", chosen.alias("chosen")).dropDuplicates(["page_id", "url", "digest"])
+    marks = marks.select("*", shard)
     columns = ("shard", "page_id", "url", "digest", "is_mark", "html", "chosen", "refers_to", "refers_url")
-    records = place(rows).select("shard", "page_id", "url", "digest", F.lit(False).alias("is_mark"), "html", F.lit(None).cast("boolean").alias("chosen"), F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
+    records = rows.select("*", shard).select("shard", "page_id", "url", "digest", F.lit(False).alias("is_mark"), "html", F.lit(None).cast("boolean").alias("chosen"), F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"))
     marks = marks.withColumn("is_mark", F.lit(True)).withColumn("html", F.lit(None).cast("string")).select(*columns)
     spread = records.unionByName(marks).repartitionByRange("shard").sortWithinPartitions("shard", "page_id", "url", "digest", F.desc("is_mark"))
     files = spread.select(*columns).mapInPandas(lambda f: _write(f, root, file_bytes, level), _FILES)
@@ -227,14 +263,22 @@ def write(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES, file_byte
     files.write.mode("overwrite").parquet(manifest)
     found = spark.read.schema(files.schema).parquet(manifest)
     fs, path = file_system(root)
-    total = found.agg(F.count("*").alias("files"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes")).first()
     fs.create_dir(path, recursive=True)
-    with fs.open_output_stream(f"{path}/_temporary-manifest") as out:
-        out.write(json.dumps(total.asDict(), sort_keys=True).encode())
-    fs.move(f"{path}/_temporary-manifest", f"{path}/_MANIFEST.json")
+    temporary = f"{path}/_temporary-manifest-{uuid.uuid4().hex}"
+    with fs.open_output_stream(temporary) as out:
+        out.write(json.dumps(_totals(found), sort_keys=True).encode())
+    settle(fs, temporary, f"{path}/_MANIFEST.json")
+    discard(repeated)
     return found
 
 
+def _totals(files: DataFrame) -> dict:
+    """What the top manifest says of the table of files."""
+    row = F.xxhash64("shard", "path", "records", "bytes", "sha256")
+    total = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("rows"))
+    return total.first().asDict()
+
+
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of a stream of gzip members."""
     buffered = io.BufferedReader(_Inflated(stream), 1 << 20)
@@ -254,6 +298,18 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield head, block
 
 
+class _Digested:
+    """A stream and the SHA-256 of what was read of it."""
+
+    def __init__(self, stream):
+        self.stream, self.hash = stream, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.hash.update(data)
+        return data
+
+
 class _Inflated(io.RawIOBase):
     """Concatenated gzip members as one stream."""
 
@@ -307,11 +363,13 @@ def _read(frames: Iterator[pd.DataFrame], root: str, with_payload: bool) -> Iter
         return out
 
     for paths in frames:
-        for path in paths["path"]:
-            rows, size = [], 0
-            with fs.open_input_stream(f"{base}/{path}", compression=None) as stream:
+        for path, records, digest in zip(paths["path"], paths["records"], paths["sha256"], strict=True):
+            rows, size, count = [], 0, 0
+            with fs.open_input_stream(f"{base}/{path}", compression=None) as raw:
+                stream = _Digested(raw)
                 for head, block in read_records(stream):
                     row = _parse(head, block)
+                    count += 1
                     rows.append(row if with_payload else (*row[:6], None))
                     size += len(block) if with_payload else 200
                     if size > 4_000_000:
@@ -319,11 +377,18 @@ def _read(frames: Iterator[pd.DataFrame], root: str, with_payload: bool) -> Iter
                         rows, size = [], 0
             if rows:
                 yield frame(rows)
+            if count != records or stream.hash.hexdigest() != digest:
+                raise ValueError(f"{path} isn't the file that the manifest lists")
 
 
 def read(spark: SparkSession, root: str, with_payload: bool = False) -> DataFrame:
     """The records of the archives below ``root`` that their manifest lists, digests checked."""
-    files = spark.read.schema(_FILES).parquet(f"{root}/_files").select("path")
+    files = spark.read.schema(_FILES).parquet(f"{root}/_files")
+    fs, path = file_system(root)
+    with fs.open_input_stream(f"{path}/_MANIFEST.json") as top:
+        if json.loads(top.read()) != _totals(files):
+            raise ValueError(f"the table of files below {root} isn't the one that was committed")
+    files = files.select("path", "records", "sha256")
     spread = files.repartition(4 * spark.sparkContext.defaultParallelism, "path")
     found = spread.mapInPandas(lambda f: _read(f, root, with_payload), _READ)
     return found if with_payload else found.drop("payload")

@@ -8,10 +8,13 @@ leftmost on ties), so documents that share a window share its anchor. Consecutiv
 *occurrence*, whose *region* is all words of these windows: the anchor extended to both sides as far as any of its
 windows reaches. Documents are joined on anchors that at least two documents have.
 
-Extension: occurrences of equal regions form a class, all of whose windows repeat in the class's smallest document;
-that settles the inside of every repeat without comparing pairs. Only for anchors with several classes does one
-occurrence of each class (that of its smallest document) list its windows, which are matched one by one; what
-matches there is where a maximal repeat ends. Work and output grow with the number of occurrences, never with pairs.
+Extension: an anchor is extended to the left by every number of words that a window allows, and by the rest of the
+window to the right. Extensions are compared by hash, so that all documents of an anchor are compared at once instead
+of in pairs. Occurrences of equal regions form a class, whose windows all repeat in the class's smallest document; that
+settles the inside of every repeat. Only for anchors with several classes does one occurrence of each class (that of
+its smallest document) list its windows, which are matched one by one: what matches there is where a maximal repeat
+ends. Work and output grow with the number of occurrences, never with pairs. A document's overlapping matches are
+merged into its maximal repeats (``repeats``: ranges of words, each of ``window`` words at least).
 
 Cases: null or short texts have no window and lose nothing; rows with null doc_id neither remove nor lose words;
 rows of one doc_id do not remove each other's words, and repeated rows get the same result each; an empty table gives
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallystone.llm import text as tx
-from tallystone.llm.storage import materialize
+from tallystone.llm.storage import discard, materialize
 
 WINDOW = 50
 ANCHOR_WORDS = 12
@@ -139,12 +142,12 @@ def keep_words(words: tx.Words, gone: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return raw[keep], total
 
 
-def _strip(batches: Iterator[pa.RecordBatch], window: int, column: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _strip(batches: Iterator[pa.RecordBatch], window: int, column: str, covers: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tx.slices(whole, column):
             raw, offsets = tx.utf8(batch.column(column))
             words = tx.Words(raw, offsets, tx.NON_SPACE)
-            listed = batch.column("_covers")
+            listed = batch.column(covers)
             sizes = listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             owner = np.repeat(np.arange(batch.num_rows), sizes)
             start, many, bits = (x.to_numpy(zero_copy_only=False) for x in listed.flatten().flatten())
@@ -160,6 +163,17 @@ def _strip(batches: Iterator[pa.RecordBatch], window: int, column: str, schema:
             gone = np.cumsum(change[:-1]) > 0
             total = np.concatenate([[0], np.cumsum(gone)])
             removed = total[words.first[1:]] - total[words.first[:-1]]
+            # repeats end with their document
+            opens = gone.copy()
+            opens[1:] &= ~gone[:-1]
+            firsts = words.first[:-1][words.counts() > 0]
+            opens[firsts] = gone[firsts]
+            closes = gone.copy()
+            closes[:-1] &= ~gone[1:] | opens[1:]
+            begin, stop = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+            at = np.searchsorted(begin, words.first)
+            base = np.repeat(words.first[:-1], np.diff(at))
+            spans = pa.StructArray.from_arrays([pa.array(begin - base), pa.array(stop - base)], names=["start", "stop"])
             data, place = keep_words(words, gone)
             data = data.tobytes()
             texts = [data[a:b] for a, b in zip(place[offsets[:-1]], place[offsets[1:]], strict=True)]
@@ -168,8 +182,9 @@ def _strip(batches: Iterator[pa.RecordBatch], window: int, column: str, schema:
                 pa.array(removed, pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                 pa.array(texts, pa.binary()).cast(pa.string()),
+                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), spans).cast(schema.field(len(schema) - 1).type),
             ]
-            kept = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_covers"]
+            kept = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != covers]
             yield pa.RecordBatch.from_arrays([*kept, *added], names=schema.names)
 
 
@@ -184,8 +199,8 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     shared = materialize(shared, "anchors")
     seeds = materialize(found.join(shared, "anchor", "left_semi"), "seeds")
-    classes = seeds.groupBy("anchor", "region").agg(F.min(F.struct("doc_id", "th", "start")).alias("rep"))
-    several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    classes = materialize(seeds.groupBy("anchor", "region").agg(F.min(F.struct("doc_id", "th", "start")).alias("rep")), "regions")
+    several = materialize(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "several")
     reps = classes.join(several, "anchor", "left_semi").groupBy("rep.doc_id", "rep.th").agg(F.collect_set("rep.start").alias("starts"))
     listed = texts.join(reps, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).select("doc_id", "text", "starts")
     windows = materialize(tx.map_arrow(listed, lambda b: _windows(b, window, anchor_words), _WINDOW), "windows")
@@ -199,20 +214,27 @@ def covers(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WOR
     )
     settled = classes.select("anchor", "region", F.col("rep.doc_id").alias("lo")).join(ends, ["anchor", "region"], "left")
     settled = materialize(settled, "classes")
-    return (
+    discard(shared, classes, several, windows, least)
+    found = (
         seeds.join(settled, ["anchor", "region"])
         .withColumn("bits", F.when(F.col("doc_id") > F.col("lo"), F.lit(ALL).cast("long")).otherwise(F.col("bits")))
         .where("bits IS NOT NULL")
         .groupBy("doc_id", "th")
         .agg(F.collect_set(F.struct("start", "many", "bits")).alias("_covers"))
     )
+    found = materialize(found, "covers")
+    discard(seeds, settled)
+    return found
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, anchor_words: int = ANCHOR_WORDS, prefix: str = "") -> DataFrame:
-    """``docs`` with ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` behind its columns."""
-    found = covers(docs, window, anchor_words).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "_covers")
-    joined = docs.join(found, (docs["doc_id"] == found["_doc"]) & (F.xxhash64(docs["text"]) == found["_th"]), "left").drop("_doc", "_th")
-    added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType())]
+    """``docs`` with ``n_words``, ``n_removed``, ``kept_sha256``, ``kept_text`` and ``repeats`` behind its columns."""
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
+    added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType()), ("repeats", spans)]
+    own = tx.unclashing(docs.columns, ["doc", "th", "covers"])
+    found = covers(docs, window, anchor_words).select(F.col("doc_id").alias(f"{own}doc"), F.col("th").alias(f"{own}th"), F.col("_covers").alias(f"{own}covers"))
+    same = (docs["doc_id"] == found[f"{own}doc"]) & (F.xxhash64(docs["text"]) == found[f"{own}th"])
+    joined = docs.join(found, same, "left").drop(f"{own}doc", f"{own}th")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + k, t) for k, t in added)])
     arrow = to_arrow_schema(schema)
-    return tx.map_arrow(joined, lambda b: _strip(b, window, "text", arrow), schema)
+    return tx.map_arrow(joined, lambda b: _strip(b, window, "text", f"{own}covers", arrow), schema)

@@ -5,15 +5,21 @@ Texts are lower-cased (A-Z only), words are ``[^\x20\x09-\x0D]+``, a document's
 least ``percent`` / 100, confirmed on the full sets.
 
 Equal sets are one node. A node's signature has ``coordinates`` minima; each (coordinate, value) is posted. Nodes
-linked at the threshold share at least ``matches`` postings (but with a chance below 1e-5 at the very threshold).
+linked at the threshold share at least ``matches`` postings (but with a chance below 1e-5 at the very threshold;
+``matches`` 1 leaves out only pairs without any common minimum).
 Counting collisions with prefixes and skips: a posting that no other node has can't match, so nodes with fewer than
 ``matches`` shared postings are skipped at once; of the others only the ``coordinates - matches + 1`` rarest
 postings open a list (two nodes with enough matches must meet in one of them), and lists with equal members are
 merged only once. In a list, each node's signature is first compared with that of the list's leader; lists whose nodes
-are all connected then are skipped. In the others all parts that are not connected are merged by comparing whole
-signatures; what meets the match threshold joins one cluster, by a spanning forest instead of all pairs. Lists and clusters over ``block`` nodes are dealt out as pairs
-of blocks, so no task holds an unbounded group. Within clusters, full sets are intersected, again leaving out pairs
-that are connected already; the confirmed links give the components.
+are all connected then are skipped. In the others, parts that are not connected are merged by comparing whole
+signatures; what meets the match threshold joins one cluster, by a spanning forest instead of all pairs.
+
+Within clusters, full sets are intersected, again leaving out pairs that are connected already; the confirmed links
+give the components. In clusters over ``block`` nodes each set is first compared with that of a leader (the node that
+most others matched), what differs from it with that of a second leader, and so on ``leaders`` times. Only where parts
+are left, their sets meet in pairs of blocks. Lists and clusters over ``block`` nodes are dealt out as pairs of blocks
+of which at least one is not of the group's largest part, so no task holds an unbounded group, and work is the group's
+size times the number of its nodes outside that part.
 
 Cases: null, empty or wordless texts have an empty set and are linked with nothing; rows of one doc_id are all kept
 if that id is its component's smallest; a null doc_id is never the smallest of a component with others; an empty
@@ -32,13 +38,14 @@ from pyspark.sql import functions as F
 
 from tallystone.llm import graph
 from tallystone.llm import text as tx
-from tallystone.llm.storage import materialize
+from tallystone.llm.storage import discard, materialize
 
 SHINGLE = 5
 PERCENT = 80
 COORDINATES = 64
 MATCHES = 36
 BLOCK = 256
+LEADERS = 3
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _rng.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,15 +163,20 @@ def _pairs(side: np.ndarray, signs: np.ndarray, matches: int, part: np.ndarray |
     return left[i[order]], right[j[order]]
 
 
-def _likely(side: np.ndarray, nodes: list, signs: np.ndarray, parts: list, matches: int, percent: int) -> Iterator[tuple]:
+def _numbers(parts: list) -> np.ndarray:
+    number = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    return np.array([number[p] for p in parts])
+
+
+def _likely(side: np.ndarray, rows: list[tuple], signs: np.ndarray, matches: int, percent: int) -> Iterator[tuple]:
     """Edges between parts that are not connected yet."""
-    if len(nodes) == 2:
+    parts = [r[3] for r in rows]
+    if len(rows) == 2:
         if parts[0] != parts[1] and int((signs[0] == signs[1]).sum()) >= matches:
             yield parts[0], parts[1]
         return
-    number = {p: i for i, p in enumerate(dict.fromkeys(parts))}
-    part = np.array([number[p] for p in parts])
-    forest = Forest(len(number))
+    part = _numbers(parts)
+    forest = Forest(int(part.max()) + 1)
     for i, j in zip(*_pairs(side, signs, matches, part), strict=True):
         if forest.join(int(part[i]), int(part[j])):
             yield parts[i], parts[j]
@@ -179,21 +191,31 @@ def _alike(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([rows.column("pid").filter(good), rows.column("leader").filter(good)], names=["a", "b"])
 
 
-def _confirmed(side: np.ndarray, nodes: list, signs: np.ndarray, items: list, matches: int, percent: int) -> Iterator[tuple]:
-    forest = Forest(len(nodes))
-    sets = [np.frombuffer(x, np.uint64) for x in items]
-    # every pair of the cluster: what the signatures find likely first
-    for i, j in zip(*_pairs(side, signs, matches), strict=True):
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _confirmed(side: np.ndarray, rows: list[tuple], signs: np.ndarray, matches: int, percent: int) -> Iterator[tuple]:
+    part = _numbers([r[3] for r in rows])
+    forest = Forest(int(part.max()) + 1)
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    # every pair of the cluster's parts: what the signatures find likely first
+    for i, j in zip(*_pairs(side, signs, matches, part), strict=True):
         i, j = int(i), int(j)
-        if forest.root(i) == forest.root(j):
-            continue
-        a, b = sets[i], sets[j]
-        if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-            continue
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        if 100 * both >= percent * (len(a) + len(b) - both):
-            forest.join(i, j)
-            yield nodes[i], nodes[j]
+        if forest.root(part[i]) != forest.root(part[j]) and _linked(sets[i], sets[j], percent):
+            forest.join(part[i], part[j])
+            yield rows[i][1], rows[j][1]
+
+
+def _led(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Nodes whose set is linked with that of the leader beside it."""
+    for batch in batches:
+        good = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column("items"), batch.column("others"), strict=True)]
+        good = pa.array(good, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("node").filter(good), batch.column("leader").filter(good)], names=["a", "b"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, percent: int, coordinates: int, kind: str) -> Iterator[pa.RecordBatch]:
@@ -205,7 +227,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, pe
             return None
         side = np.array([r[0] for r in rows])
         signs = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, coordinates)
-        found = list(find(side, [r[1] for r in rows], signs, [r[3] for r in rows], matches, percent))
+        found = list(find(side, rows, signs, matches, percent))
         if not found:
             return None
         a, b = zip(*found, strict=True)
@@ -213,36 +235,46 @@ def _grouped(batches: Iterator[pa.RecordBatch], find: Callable, matches: int, pe
         return pa.RecordBatch.from_arrays([pa.array(a, type_), pa.array(b, type_)], names=["a", "b"])
 
     for batch in batches:
-        extra = "items" if "items" in batch.schema.names else "part"
-        columns = [batch.column(c).to_pylist() for c in ("k1", "k2", "k3", "side", "node", "signature")]
-        items = batch.column(extra).to_pylist()
-        for k1, k2, k3, side, node, sign, own in zip(*columns, items, strict=True):
-            if (k1, k2, k3) != key:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "k3")), strict=True)
+        columns = [c for c in ("side", "node", "signature", "part", "items") if c in batch.schema.names]
+        for own, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if own != key:
                 out = edges()
                 if out is not None:
                     yield out
-                key, rows = (k1, k2, k3), []
-            rows.append((side, node, sign, own))
+                key, rows = own, []
+            rows.append(row)
     out = edges()
     if out is not None:
         yield out
 
 
-def _dealt(members: DataFrame, sizes: DataFrame, key: str, block: int) -> DataFrame:
+def _groups(members: DataFrame, key: str) -> DataFrame:
+    """Of each group of ``members(key, part)`` that has several parts: its size ``n``, its largest part and that part's size."""
+    parts = members.groupBy(key, "part").agg(F.count("*").alias("m"))
+    whole = parts.groupBy(key).agg(F.sum("m").alias("n"), F.count("*").alias("p"), F.max(F.struct("m", "part")).alias("h"))
+    return whole.where("p > 1").select(key, "n", F.col("h.part").alias("heavy"), F.col("h.m").alias("m"))
+
+
+def _dealt(members: DataFrame, groups: DataFrame, key: str, block: int) -> DataFrame:
     """``members`` by (key, pair of blocks): groups up to ``block`` whole, larger ones as pairs of blocks of that size.
 
+    Blocks hold nodes of the largest part or nodes of all others; two blocks of the largest part need not meet.
     ``side``: 2 where a group, or one block with itself, is compared; else 0 and 1 for the two blocks.
     """
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = members.join(sizes, key).withColumn("g", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("g")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other")
-    spread = dealt.select("*", other)
+    whole, heavy = F.col("n") <= block, F.col("part") == F.col("heavy")
+    hash_ = F.xxhash64("node")
+    rest = F.col("n") - F.col("m")
+    dealt = members.join(groups, key).withColumn("gh", F.ceil(F.col("m") / block).cast("int")).withColumn("gr", F.ceil(rest / block).cast("int"))
+    dealt = dealt.withColumn("own", F.when(whole, 0).when(heavy, F.pmod(hash_, "gh")).otherwise(F.col("gh") + F.pmod(hash_, F.greatest("gr", F.lit(1)))).cast("int"))
+    others = F.when(whole, F.array(F.lit(0))).otherwise(F.sequence(F.when(heavy, F.col("gh")).otherwise(F.lit(0)), F.col("gh") + F.col("gr") - 1))
+    spread = dealt.select("*", F.explode(others).alias("other"))
     return spread.select(
         F.col(key).alias("k1"),
         F.least("own", "other").alias("k2"),
         F.greatest("own", "other").alias("k3"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-        *(c for c in ("node", "signature", "items", "part") if c in members.columns),
+        *(c for c in ("node", "signature", "part", "items") if c in members.columns),
     )
 
 
@@ -251,8 +283,48 @@ def _edges(dealt: DataFrame, find: Callable, matches: int, percent: int, coordin
     return tx.map_arrow(spread, lambda b: _grouped(b, find, matches, percent, coordinates, kind), f"a {kind}, b {kind}")
 
 
+def _confirm(sets: DataFrame, degrees: DataFrame, matches: int, percent: int, coordinates: int, block: int, leaders: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Confirmed links of ``sets(node, pid, cluster, signature, items)``; ``degrees(pid, degree)``: how many nodes matched one."""
+    sizes = materialize(sets.groupBy("cluster").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    scratch, found = [sizes], []
+    big = sizes.where(F.col("n") > block)
+    parts = None
+    if leaders and not big.isEmpty():
+        todo = sets.join(big.select("cluster"), "cluster", "left_semi").select("node", "pid", "cluster").join(degrees, "pid", "left")
+        todo = materialize(todo.select("node", "cluster", F.coalesce("degree", F.lit(0)).alias("degree")), "todo")
+        members = todo
+        scratch.append(todo)
+        for _ in range(leaders):
+            first = todo.groupBy("cluster").agg(F.max(F.struct("degree", "node")).alias("l")).select("cluster", F.col("l.node").alias("leader"))
+            first = first.join(sets.select(F.col("node").alias("leader"), F.col("items").alias("others")), "leader")
+            first = materialize(first, "leaders")
+            tested = sets.join(todo.select("node"), "node", "left_semi").select("node", "cluster", "items")
+            tested = materialize(tested, "tested")
+            pairs = tested.join(first, "cluster").where("node <> leader").select("node", "leader", "items", "others")
+            linked = materialize(tx.map_arrow(pairs, lambda b: _led(b, percent), "a binary, b binary"), "linked")
+            found.append(linked)
+            gone = linked.select(F.col("a").alias("node")).unionByName(first.select(F.col("leader").alias("node")))
+            todo = materialize(todo.join(gone, "node", "left_anti"), "todo")
+            discard(first, tested)
+            scratch += [linked, todo]
+        own = found[0]
+        for linked in found[1:]:
+            own = own.unionByName(linked)
+        parts = members.select("node").join(own.select(F.col("a").alias("node"), F.col("b").alias("part")), "node", "left").select("node", F.coalesce("part", "node").alias("part"))
+    if parts is None:
+        cut = sets.withColumn("part", F.col("node"))
+    else:
+        cut = sets.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    groups = materialize(_groups(cut.select("cluster", "part"), "cluster"), "groups")
+    scratch.append(groups)
+    links = _edges(_dealt(cut.select("cluster", "node", "signature", "part", "items"), groups, "cluster", block), _confirmed, matches, percent, coordinates, "binary")
+    for linked in found:
+        links = links.unionByName(linked)
+    return links, scratch
+
+
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES, block: int = BLOCK, leaders: int = LEADERS
 ) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, kept`` for every row of ``docs`` (``th``: hash of its text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
@@ -264,7 +336,8 @@ def near_duplicates(
     # lists hold short numbers for nodes; where two nodes have one number, both go on to the full sets
     signs = nodes.select("pid", "signature").dropDuplicates(["pid"])
     postings = tx.map_arrow(signs, lambda b: _postings(b, coordinates), "pid long, token long")
-    shared = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    # a table of its own, like others below: joins of plain exchanges can be split where a key is hot
+    shared = materialize(postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     prefix = coordinates - matches + 1
     opened = (
         postings.join(shared, "token")
@@ -286,26 +359,34 @@ def near_duplicates(
     other = signs.select(F.col("pid").alias("leader"), F.col("signature").alias("other"))
     led = led.join(signs, "pid").join(other, "leader").select("pid", "leader", "signature", "other")
     early = materialize(tx.map_arrow(led, lambda b: _alike(b, matches), "a long, b long"), "early")
-    group = graph.components(early).select(F.col("node").alias("pid"), F.col("component").alias("part"))
+    joined = graph.components(early)
+    group = joined.select(F.col("node").alias("pid"), F.col("component").alias("part"))
     members = opened.join(lists.select("token"), "token", "left_semi").join(group, "pid", "left").withColumn("part", F.coalesce("part", "pid"))
-    mixed = members.groupBy("token").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token", "n")
-    members = members.withColumnRenamed("pid", "node").join(signs.withColumnRenamed("pid", "node"), "node")
-    late = materialize(_edges(_dealt(members, mixed, "token", block), _likely, matches, percent, coordinates, "long"), "late")
-    whole = graph.components(late).select(F.col("node").alias("part"), F.col("component").alias("cluster"))
+    members = materialize(members, "members")
+    mixed = materialize(_groups(members, "token"), "mixed")
+    signed = members.withColumnRenamed("pid", "node").join(signs.withColumnRenamed("pid", "node"), "node")
+    late = materialize(_edges(_dealt(signed, mixed, "token", block), _likely, matches, percent, coordinates, "long"), "late")
+    discard(shared, opened, lists, members, mixed)
+    merged = graph.components(late)
+    whole = merged.select(F.col("node").alias("part"), F.col("component").alias("cluster"))
     alone = whole.select(F.col("part").alias("pid"), "part").join(group.select("pid"), "pid", "left_anti")
     clusters = group.unionByName(alone).join(whole, "part", "left").select("pid", F.coalesce("cluster", "part").alias("cluster"))
-    clusters = materialize(clusters.join(nodes.select("node", "pid"), "pid").select("node", "cluster"), "clusters")
-
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
-    picked = clusters.join(nodes, "node").select("node", "cluster", "signature", F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"))
-    picked = picked.join(texts, F.col("_d").eqNullSafe(texts["doc_id"]) & (F.col("_t") == texts["th"])).select("node", "cluster", "signature", "text")
-    sets = tx.map_arrow(picked, lambda b: _sets(b, shingle), "node binary, cluster long, signature binary, items binary").dropDuplicates(["node"])
-    links = _edges(_dealt(sets, sizes, "cluster", block), _confirmed, matches, percent, coordinates, "binary")
+    clusters = clusters.join(nodes.select("node", "pid", "signature", "first"), "pid")
+
+    picked = clusters.select("node", "pid", "cluster", "signature", F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"))
+    picked = picked.join(texts, F.col("_d").eqNullSafe(texts["doc_id"]) & (F.col("_t") == texts["th"])).select("node", "pid", "cluster", "signature", "text")
+    sets = tx.map_arrow(picked, lambda b: _sets(b, shingle), "node binary, pid long, cluster long, signature binary, items binary").dropDuplicates(["node"])
+    sets = materialize(sets, "sets")
+    discard(late, joined, merged)
+    degrees = materialize(early.groupBy(F.col("b").alias("pid")).agg(F.count("*").alias("degree")), "degrees")
+    links, scratch = _confirm(sets, degrees, matches, percent, coordinates, block, leaders)
     found = graph.components(links)
+    discard(early, degrees, sets, *scratch)
 
-    least = found.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    least = materialize(found.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id")), "least")
     named = found.join(least, "component").select("node", "component_id")
-    own = nodes.select("node", "least").join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
+    own = materialize(nodes.select("node", "least").join(named, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")), "own")
+    discard(found, least, nodes)
     rows = features.drop("signature").join(own, "node", "left")
     rows = rows.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return rows.select("doc_id", "th", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -1,7 +1,7 @@
 """Language identification: scripts narrow the candidates, Viterbi labels spans of mixed-language text.
 
 Words are runs of letters. Each word's script (the range of its first letter) leaves as candidates the languages
-that were seen to use it. A word's score under a candidate is the mean-free sum of the log-probabilities of its
+that were seen to use it; no other can label it. A word's score under a candidate is the mean-free sum of the log-probabilities of its
 character n-grams (naive Bayes over ``SIZES``, word ends marked, hashed into ``BUCKETS``). A Viterbi pass over the
 words of a document finds the labelling that is best after ``penalty`` for each change of language; equal labels in a
 row make a span. The document's language is that with most letters, its score that share of all letters.
@@ -34,6 +34,8 @@ SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 SAMPLE = 1000
 PENALTY = 6.0
+#: A worker keeps the scores of words until they are more than these.
+CACHE = 100_000
 UNKNOWN = "und"
 
 #: First code points of script ranges (fixed values of the Unicode standard's blocks); a range ends where the next starts.
@@ -91,19 +93,43 @@ class Model:
     uses: np.ndarray
     penalty: float = PENALTY
 
+    def __post_init__(self):
+        #: Scores of words seen before, by their place in ``scores``.
+        self.known: dict[bytes, int] = {}
+        self.scores = np.zeros((0, len(self.languages)))
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}, "scores": self.scores[:0]}
+
     def word_scores(self, words: list[bytes]) -> np.ndarray:
-        owner, bucket = _grams(words)
-        scores = np.stack([np.bincount(owner, self.weights[bucket, k], len(words)) for k in range(len(self.languages))], 1)
-        first = np.array([int.from_bytes(w[:4], "little") for w in words])
-        allowed = self.uses[script_of(first)]
-        some = allowed.any(1)
-        return np.where(allowed, scores, np.where(some, scores.min(1) - 20.0, 0.0)[:, None])
+        """Each word's score under every language; minus infinity where its script excludes one, 0 if it excludes all."""
+        scores = np.zeros((len(words), len(self.languages)))
+        if not words:
+            return scores
+        script = script_of(np.array([int.from_bytes(w[:4], "little") for w in words]))
+        for s in np.unique(script):
+            own = np.flatnonzero(script == s)
+            languages = np.flatnonzero(self.uses[s])
+            if not len(languages):
+                continue
+            owner, bucket = _grams([words[i] for i in own])
+            scores[own] = -np.inf
+            scores[np.ix_(own, languages)] = np.stack([np.bincount(owner, self.weights[bucket, k], len(own)) for k in languages], 1)
+        return scores
 
     def label(self, words: tx.Words) -> np.ndarray:
         """The language of each word."""
         coded = words.array().dictionary_encode()
-        table = self.word_scores(coded.dictionary.to_pylist())
-        return viterbi(table, coded.indices.to_numpy(), words.first, self.penalty)
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > CACHE:
+            self.known.clear()
+            self.scores = self.scores[:0]
+        fresh = [w for w in distinct if w not in self.known]
+        if fresh:
+            self.known.update(zip(fresh, range(len(self.scores), len(self.scores) + len(fresh)), strict=True))
+            self.scores = np.concatenate([self.scores, self.word_scores(fresh)])
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return viterbi(self.scores, place[coded.indices.to_numpy()], words.first, self.penalty)
 
 
 def viterbi(table: np.ndarray, index: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
@@ -118,7 +144,7 @@ def viterbi(table: np.ndarray, index: np.ndarray, first: np.ndarray, penalty: fl
         return out
     longest = int(left[0])
     active = np.searchsorted(-left, -np.arange(1, longest + 1), side="right")  # sequences with more than t items
-    came = np.zeros((len(index), labels), np.int8)
+    came = np.zeros((len(index), labels), np.int8 if labels < 128 else np.int16 if labels < 32768 else np.int32)
     stay = np.arange(labels)
     value = table[index[begin[: active[0]]]].copy()
     final = np.zeros((active[0], labels))

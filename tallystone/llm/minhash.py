@@ -356,15 +356,16 @@ def near_duplicates(
 
     # skip: what matches its list's leader needs no merging with the others that do
     led = opened.join(lists.select("token", "leader"), "token").where("pid <> leader").select("pid", "leader").distinct()
-    other = signs.select(F.col("pid").alias("leader"), F.col("signature").alias("other"))
-    led = led.join(signs, "pid").join(other, "leader").select("pid", "leader", "signature", "other")
+    # plain scans: where two nodes have one number, each is compared
+    other = nodes.select(F.col("pid").alias("leader"), F.col("signature").alias("other"))
+    led = led.join(nodes.select("pid", "signature"), "pid").join(other, "leader").select("pid", "leader", "signature", "other")
     early = materialize(tx.map_arrow(led, lambda b: _alike(b, matches), "a long, b long"), "early")
     joined = graph.components(early)
     group = joined.select(F.col("node").alias("pid"), F.col("component").alias("part"))
     members = opened.join(lists.select("token"), "token", "left_semi").join(group, "pid", "left").withColumn("part", F.coalesce("part", "pid"))
     members = materialize(members, "members")
     mixed = materialize(_groups(members, "token"), "mixed")
-    signed = members.withColumnRenamed("pid", "node").join(signs.withColumnRenamed("pid", "node"), "node")
+    signed = members.withColumnRenamed("pid", "node").join(nodes.select(F.col("pid").alias("node"), "signature"), "node")
     late = materialize(_edges(_dealt(signed, mixed, "token", block), _likely, matches, percent, coordinates, "long"), "late")
     discard(shared, opened, lists, members, mixed)
     merged = graph.components(late)

@@ -243,8 +243,8 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of ``vectors`` for each row of ``queries`` (both vec_id, embedding)."""
     shards = materialize(tx.map_arrow(vectors, lambda b: _build(b, shard_rows), "n long, shard binary"), "trees")
-    total = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    groups = max(1, -(-total // group_rows))
+    total, many = shards.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    groups = max(1, -(-total // group_rows), min(many, vectors.sparkSession.sparkContext.defaultParallelism))
     # several rows of one id are several queries: two hashes tell them apart
     asked = queries.distinct().withColumn("q", F.xxhash64("vec_id", "embedding"))
     blocks = materialize(tx.map_arrow(asked.coalesce(max(1, min(groups, asked.sparkSession.sparkContext.defaultParallelism))), lambda b: _blocks(b, block_rows), "block binary"), "queries")

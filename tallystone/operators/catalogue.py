@@ -40,15 +40,21 @@ def basename(path: Column) -> Column:
 
 
 def propagate(fs: DataFrame, keys: list[str], as_of: Column) -> Change:
-    """Give files that aren't main the blob of the main file with equal ``keys`` (the smallest, if several)."""
+    """Give files that aren't main the blob of the main file with equal ``keys`` (the smallest, if several).
+
+    Only rows that may get a blob are joined, with keys that aren't null, so the filters reach the scan and no rows
+    meet on null; all others go to the state as they are.
+    """
     source = fs.where(F.col("main") & F.col("blobid").isNotNull()).dropna(subset=keys).groupBy(*keys).agg(F.min("blobid").alias("_blob"))
-    joined = fs.join(source, keys, "left")
-    hit = (~F.col("main")) & F.col("blobid").isNull() & F.col("_blob").isNotNull()
-    marked = joined.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    changed = marked.withColumn("blobid", F.when(F.col("_hit"), F.col("_blob")).otherwise(F.col("blobid"))).withColumn(
-        "uploaded", F.when(F.col("_hit"), as_of).otherwise(F.col("uploaded"))
-    )
-    return Change(changed.select(*fs.columns), changed.where("_hit").select(*fs.columns))
+    whole = F.lit(True)
+    for key in keys:
+        whole &= F.col(key).isNotNull()
+    open_ = F.coalesce(~F.col("main") & F.col("blobid").isNull() & whole, F.lit(False))
+    delta = fs.where(open_).join(source, keys).withColumn("blobid", F.col("_blob")).withColumn("uploaded", as_of).select(*fs.columns)
+    found = fs.where(open_).join(source, keys, "left")
+    hit = F.col("_blob").isNotNull()
+    tried = found.withColumn("uploaded", F.when(hit, as_of).otherwise(F.col("uploaded"))).withColumn("blobid", F.col("_blob"))
+    return Change(fs.where(~open_).unionByName(tried.select(*fs.columns)), delta)
 
 
 def propagate_all(fs: DataFrame, as_of: Column) -> Change:
@@ -157,3 +163,36 @@ def apply_outcomes(fs: DataFrame, outcomes: DataFrame, as_of: Column) -> Change:
         .withColumn("uploaded", F.when(kind.isin("directory", "file"), as_of).otherwise(F.col("uploaded")))
     )
     return Change(changed.select(*fs.columns), changed.where("_hit").select(*fs.columns))
+
+
+def rename(fs: DataFrame, mapping: DataFrame) -> tuple[Change, DataFrame]:
+    """Give paths of ``mapping(pth, repaired)`` their new name and clear ``cantfind``; and what can't be renamed.
+
+    A new name that several old ones would get, or that another row has, is a collision: those rows stay as they are.
+    """
+    new = mapping.where("repaired IS NOT NULL AND repaired <> pth").dropDuplicates(["pth"])
+    known = new.join(fs.select("pth").distinct(), "pth", "left_semi")
+    several = known.groupBy("repaired").agg(F.count("*").alias("n")).where("n > 1").select("repaired")
+    taken = known.join(fs.select(F.col("pth").alias("repaired")), "repaired", "left_semi").select("repaired")
+    bad = several.unionByName(taken).distinct()
+    good = known.join(bad, "repaired", "left_anti").select("pth", F.col("repaired").alias("_new"))
+    joined = fs.join(good, "pth", "left")
+    changed = joined.withColumn("_hit", F.col("_new").isNotNull()).withColumn("pth", F.coalesce("_new", "pth")).withColumn("cantfind", F.col("cantfind") & ~F.col("_hit"))
+    return Change(changed.select(*fs.columns), changed.where("_hit").select(*fs.columns)), known.join(bad, "repaired", "left_semi").select("pth", "repaired")
+
+
+def clear_flag(fs: DataFrame, which: Column) -> Change:
+    """Clear ``cantfind`` of all rows that ``which`` names, whether they were renamed or not."""
+    hit = F.coalesce(F.col("cantfind") & which, F.lit(False))
+    return Change(fs.withColumn("cantfind", F.col("cantfind") & ~hit), fs.where(hit).withColumn("cantfind", F.lit(False)).select(*fs.columns))
+
+
+def evolve(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add columns that are missing (null), and cast those that have another type."""
+    kept = [F.col(c).cast(columns[c]).alias(c) if c in columns else F.col(c) for c in rows.columns]
+    return rows.select(*kept, *(F.lit(None).cast(t).alias(c) for c, t in columns.items() if c not in rows.columns))
+
+
+def reference_counts(files: DataFrame) -> DataFrame:
+    """How many files have each content."""
+    return files.where("blobid IS NOT NULL").groupBy("blobid").agg(F.count("*").alias("references"))

@@ -119,3 +119,81 @@ def backoff(attempt: Column, base: float = 1.0, cap: float = 300.0, jitter: Colu
     """Seconds to wait: doubling up to a cap, within a fifth either way by ``jitter`` in 0..1."""
     plain = F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(cap))
     return plain if jitter is None else plain * (0.8 + 0.4 * jitter)
+
+
+def benchmark_summary(rows: DataFrame) -> DataFrame:
+    """Of ``rows(original_bytes, blob_bytes, ms)``: totals, rates, and both the mean of ratios and the ratio of sums."""
+    total = rows.agg(
+        F.count("*").alias("files"),
+        F.sum("original_bytes").alias("original_bytes"),
+        F.sum("blob_bytes").alias("blob_bytes"),
+        F.sum("ms").alias("ms"),
+        F.round(F.avg(F.try_divide(F.col("blob_bytes").cast("double"), F.col("original_bytes"))), 6).alias("mean_ratio"),
+    )
+    per = lambda a, b: F.round(F.try_divide(a, b), 6)
+    return total.select(
+        "files", "original_bytes", "blob_bytes", "mean_ratio",
+        per(F.col("blob_bytes").cast("double"), F.col("original_bytes")).alias("total_ratio"),
+        per(F.col("files") * 1000.0, F.col("ms")).alias("files_per_second"),
+        per(F.col("original_bytes") / 1000.0, F.col("ms")).alias("megabytes_per_second"),
+        per(F.col("ms"), F.col("files")).alias("ms_per_file"),
+    )
+
+
+def extrapolate(rows: DataFrame, test: Column, key: str, sample: int) -> DataFrame:
+    """How many rows pass ``test``, from the ``sample`` rows with the smallest hash of ``key``: whole numbers, rounded down."""
+    few = rows.orderBy(F.xxhash64(key), key).limit(sample).agg(F.count("*").alias("sampled"), F.count_if(test).alias("passed"))
+    whole = rows.agg(F.count("*").alias("total"))
+    return few.join(F.broadcast(whole)).selectExpr("sampled", "passed", "total", "CASE WHEN sampled = 0 THEN 0 ELSE passed * total DIV sampled END AS estimate")
+
+
+def idle_percent(wait: Column, work: Column) -> Column:
+    """Share of waiting in all time; 0 if there is none."""
+    return F.coalesce(F.round(F.try_divide(100.0 * wait, wait + work), 6), F.lit(0.0))
+
+
+def worker_totals(rows: DataFrame) -> DataFrame:
+    """Over ``rows(worker, hashed, hits)``: sums of all workers, and the share of hits in percent of at least one."""
+    total = rows.agg(F.countDistinct("worker").alias("workers"), F.coalesce(F.sum("hashed"), F.lit(0)).alias("hashed"), F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"))
+    return total.withColumn("hit_percent", F.round(100.0 * F.col("hits") / F.greatest("hashed", F.lit(1)), 6))
+
+
+def mean_of_latest(rows: DataFrame, by: str, value: str, ts: str, tie: str) -> DataFrame:
+    """Mean over groups of each group's last value."""
+    last = rows.groupBy(by).agg(F.max_by(value, F.struct(ts, tie)).alias("v"))
+    return last.agg(F.count("*").alias("groups"), F.round(F.avg("v"), 6).alias("mean"))
+
+
+def memory_action(memory: Column, own: Column, limit: Column, used: Column) -> Column:
+    """What to do with a shared-memory limit; null for nothing. Percent of the machine's memory in use, and of our own.
+
+    The urgent arm can't be reached, as the one before it holds whenever it does; it stays as the rule's table has it.
+    """
+    return (
+        F.when((memory < 50) & (own < 20), F.when((limit < 2_000_000_000) & (used > 0.8 * limit), "increase_aggressive"))
+        .when((memory < 70) & (own < 30), F.when((limit < 1_500_000_000) & (used > 0.9 * limit), "increase_moderate"))
+        .when((memory > 85) | (own > 40), "decrease")
+        .when((memory > 90) | (own > 50), "decrease_urgent")
+    )
+
+
+def queue_label(size: Column) -> Column:
+    """-1: the platform doesn't tell."""
+    return F.when(size == -1, "[?]").when(size > 80, "[HIGH]").when(size > 50, "[MED]").otherwise("[LOW]")
+
+
+def stage_label(staged: Column) -> Column:
+    return F.when(staged > 500, "[BACKLOG]").when(staged > 200, "[BUSY]").otherwise("[OK]")
+
+
+def bottleneck_label(queue: Column, staged: Column, claimed: Column, hashers: Column, compressors: Column, cpu: Column, memory: Column) -> Column:
+    inferred = F.when((compressors < hashers) & (cpu < 50), "[C-SLOW]").when(staged > 500, "[U-SLOW]").otherwise("[OK]")
+    return (
+        F.when(queue == -1, inferred)
+        .when(queue > 70, "[C-SLOW]")
+        .when(staged > 500, "[U-SLOW]")
+        .when(claimed < 2 * hashers, "[DB-LAG]")
+        .when(cpu > 90, "[CPU-MAX]")
+        .when(memory > 85, "[MEM-HIGH]")
+        .otherwise("[OK]")
+    )

@@ -47,6 +47,41 @@ def reset_stale(queue: DataFrame, as_of: Column, minutes: int = 30) -> Change:
     return Change(state, queue.where(stale))
 
 
+def setup(queue: DataFrame, fs: DataFrame, as_of: Column, minutes: int = 30) -> Change:
+    """Seed an empty queue with eligible files; of one that has entries, give up stale claims."""
+    return add_eligible(queue, fs, as_of) if queue.isEmpty() else reset_stale(queue, as_of, minutes)
+
+
+def finish_batch(queue: DataFrame, fs: DataFrame, results: DataFrame, as_of: Column) -> tuple[Change, Change]:
+    """Take over ``results(pth, blobid, error)``: catalogue and queue after them.
+
+    A result without an error gives its blob; an error that says "not found" marks the file missing; other errors change
+    nothing in the catalogue. Every path that has a result leaves the queue. Of several results of a path a success counts.
+    """
+    one = results.groupBy("pth").agg(F.min(F.struct(F.col("error").isNotNull().alias("failed"), F.col("blobid").alias("new"), "error")).alias("_r"))
+    joined = fs.join(one, "pth", "left")
+    done = F.coalesce(~F.col("_r.failed"), F.lit(False))
+    gone = F.coalesce(F.col("_r.failed") & F.lower("_r.error").contains("not found"), F.lit(False))
+    changed = (
+        joined.withColumn("_hit", done | gone)
+        .withColumn("uploaded", F.when(done, as_of).otherwise(F.col("uploaded")))
+        .withColumn("blobid", F.when(done, F.col("_r.new")).otherwise(F.col("blobid")))
+        .withColumn("last_missing_at", F.when(gone, as_of).otherwise(F.col("last_missing_at")))
+    )
+    return Change(changed.select(*fs.columns), changed.where("_hit").select(*fs.columns)), remove(queue, one)
+
+
+def claim_at(queue: DataFrame, offset: int) -> DataFrame:
+    """The unclaimed path at a place in order of paths."""
+    return queue.where("claimed_at IS NULL").orderBy("pth").offset(offset).limit(1)
+
+
+def claim_random(queue: DataFrame, seed: int, candidates: int = 500) -> DataFrame:
+    """One of the first ``candidates`` unclaimed paths, by a hash that ``seed`` changes: the same in every run."""
+    first = queue.where("claimed_at IS NULL").orderBy("pth").limit(candidates)
+    return first.orderBy(F.xxhash64("pth", F.lit(seed)), "pth").limit(1)
+
+
 def reset_processing(fs: DataFrame, as_of: Column, minutes: int = 60) -> Change:
     stale = F.coalesce(F.col("blobid").isNull() & (F.col("processing_started") < as_of - F.make_dt_interval(mins=F.lit(minutes))), F.lit(False))
     return Change(fs.withColumn("processing_started", F.when(~stale, F.col("processing_started"))), fs.where(stale))
@@ -68,8 +103,8 @@ def claim(queue: DataFrame, fs: DataFrame, worker: str, as_of: Column, limit: in
 
 
 def sample_unclaimed(queue: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """A Bernoulli sample of the unclaimed; it may be empty although work remains."""
-    return queue.where("claimed_at IS NULL").sample(fraction, seed)
+    """A share of the unclaimed, by a hash of the path; it may be empty although work remains."""
+    return queue.where("claimed_at IS NULL").where(F.pmod(F.xxhash64("pth", F.lit(seed)), F.lit(1_000_000)) < fraction * 1_000_000)
 
 
 def remove_completed(queue: DataFrame, fs: DataFrame, kind: str = "missing") -> Change:

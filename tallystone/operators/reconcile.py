@@ -121,3 +121,80 @@ def grouped_by_fanout(ids: DataFrame) -> DataFrame:
     """Blob ids by the two-level folder that holds them."""
     folder = F.concat_ws("/", F.substring("blobid", 1, 2), F.substring("blobid", 3, 2))
     return ids.groupBy(folder.alias("folder")).agg(F.sort_array(F.collect_set("blobid")).alias("blobids"))
+
+
+def recovery_status(missing: DataFrame, fs: DataFrame, storage: DataFrame, remade: DataFrame) -> DataFrame:
+    """What became of each id of ``missing(blobid)``; ``remade(pth, new_blobid)``: ids made again from files that exist.
+
+    In order: it is there after all; no path leads to it; the file is gone; its content has changed; it can be uploaded.
+    """
+    source = source_of_blob(fs).select("blobid", "pth")
+    there = storage.select("blobid", F.lit(True).alias("_s")).dropDuplicates()
+    rows = missing.select("blobid").distinct().join(there, "blobid", "left").join(source, "blobid", "left")
+    rows = rows.join(remade.groupBy("pth").agg(F.min("new_blobid").alias("new_blobid")), "pth", "left")
+    status = (
+        F.when(F.col("_s"), "present")
+        .when(F.col("pth").isNull(), "no_source")
+        .when(F.col("new_blobid").isNull(), "source_missing")
+        .when(F.col("new_blobid") != F.col("blobid"), "content_changed")
+        .otherwise("recovered")
+    )
+    return rows.select("blobid", "pth", status.alias("status"))
+
+
+def size_mismatches(fs: DataFrame, listing: DataFrame) -> DataFrame:
+    """Paths whose size in ``listing(pth, disk_size)`` isn't that of the catalogue."""
+    return fs.join(listing, "pth").where("size <> disk_size").select("pth", "size", "disk_size")
+
+
+def chain(changesets: list[tuple[str, str]]) -> list[tuple[str, str, str | None]]:
+    """Names, ids and predecessors of ``(name, manifest hash)`` in order: an id hashes its manifest and the id before it.
+
+    Each id needs the one before it, so this is a loop, over changesets and not over their files.
+    """
+    import hashlib
+
+    found, previous = [], None
+    for name, manifest in changesets:
+        own = hashlib.sha256((manifest + (previous or "")).encode()).hexdigest()
+        found.append((name, own, previous))
+        previous = own
+    return found
+
+
+def backend_health(copies: DataFrame, least: int) -> DataFrame:
+    """Of ``copies(blobid, backend, status)``: blobs by how many backends hold them, against the number asked for."""
+    held = copies.groupBy("blobid").agg(F.countDistinct(F.when(F.col("status") == "uploaded", F.col("backend"))).alias("held"))
+    state = F.when(F.col("held") >= least, "healthy").when(F.col("held") > 0, "degraded").otherwise("lost")
+    return held.select("blobid", "held", state.alias("health"))
+
+
+def pending_copies(copies: DataFrame, backend: str | None = None) -> DataFrame:
+    """What a push must take up again."""
+    rows = copies.where(F.col("status").isin("failed", "pending"))
+    return rows if backend is None else rows.where(F.col("backend") == backend)
+
+
+def backend_status(copies: DataFrame) -> DataFrame:
+    return copies.groupBy("backend").agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("uploaded", "pending", "failed")))
+
+
+def search_files(files: DataFrame, pattern: str, changeset: str | None = None) -> DataFrame:
+    rows = files.where(F.col("path").rlike(pattern))
+    return rows if changeset is None else rows.where(F.col("changeset_id") == changeset)
+
+
+def snapshot_files(files: DataFrame, snapshots: DataFrame, at: Column) -> DataFrame:
+    """The files of each dataset's last snapshot at or before a time: ``snapshots(changeset_id, dataset, snapshot_timestamp)``."""
+    last = snapshots.where(F.col("snapshot_timestamp") <= at).groupBy("dataset").agg(F.max_by("changeset_id", F.struct("snapshot_timestamp", "changeset_id")).alias("changeset_id"))
+    return files.join(last, "changeset_id")
+
+
+def first_from(rows: DataFrame, ts: str, start: Column, columns: list[str]) -> DataFrame:
+    """The first row at or after a time."""
+    return rows.where(F.col(ts) >= start).orderBy(ts, *columns).limit(1).select(ts, *columns)
+
+
+def timestamp_sample(rows: DataFrame, ts: str, limit: int = 5) -> DataFrame:
+    """The latest times and how many rows have each."""
+    return rows.where(F.col(ts).isNotNull()).groupBy(ts).agg(F.count("*").alias("n")).orderBy(F.desc(ts)).limit(limit)

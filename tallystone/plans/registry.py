@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystone import fixtures as fx
 from tallystone.functions import format_size, percent
-from tallystone.operators import blobs, catalogue, library, metrics, paths, queue, reconcile
+from tallystone.operators import blobs, catalogue, ciphers, library, metrics, paths, queue, reconcile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -553,21 +553,12 @@ def repair_quotes(spark, d):
     return paths.match_names(wanted, curly, [("quotes", paths.fold_quotes)]).select("parent", F.col("db_name").alias("name"), F.col("name").alias("found"))
 
 
-_ASCII = "a AS (SELECT DISTINCT parent, name FROM disk WHERE NOT regexp_matches(name, '[^\\x00-\\x7F]') AND length(name) BETWEEN 4 AND 9)"
-
-
-@register(rf"WITH {fx.DISK}, {_ASCII}, w AS (SELECT parent, name[2:] AS db_name FROM a GROUP BY ALL), c AS (SELECT w.parent, w.db_name, a.name, levenshtein(w.db_name, a.name) AS distance FROM w JOIN a USING (parent) WHERE levenshtein(w.db_name, a.name) <= 2), r AS (SELECT *, row_number() OVER (PARTITION BY parent, db_name ORDER BY distance, name) AS k FROM c) SELECT parent, db_name, name, distance::INT AS distance FROM r WHERE k = 1")
-def fuzzy_match_ascii(spark, d):
-    names = disk_of(spark, d).where(~paths.non_ascii(F.col("name")) & F.char_length("name").between(4, 9)).select("parent", "name").distinct()
-    return paths.fuzzy_match(names.select("parent", F.expr("substring(name, 2)").alias("db_name")).distinct(), names)
-
-
 _ANY = "a AS (SELECT DISTINCT parent, name FROM disk WHERE NOT regexp_matches(name, '[^\\x00-\\x7F]'))"
 
 
 @register(rf"WITH {fx.DISK}, {_ANY}, w AS (SELECT parent, name[2:] AS db_name FROM a GROUP BY ALL), c AS (SELECT w.parent, w.db_name, a.name, levenshtein(w.db_name, a.name) AS distance FROM w JOIN a USING (parent) WHERE levenshtein(w.db_name, a.name) <= 2), r AS (SELECT *, row_number() OVER (PARTITION BY parent, db_name ORDER BY distance, name) AS k FROM c) SELECT parent, db_name, name, distance::INT AS distance FROM r WHERE k = 1")
 def fuzzy_match_names(spark, d):
-    """Every ASCII name of a directory, of any length; ``fuzzy_match_ascii`` takes 4 to 9 characters alone, as its SQL does."""
+    """Every ASCII name of a directory, of any length."""
     names = disk_of(spark, d).where(~paths.non_ascii(F.col("name"))).select("parent", "name").distinct()
     return paths.fuzzy_match(names.select("parent", F.expr("substring(name, 2)").alias("db_name")).distinct(), names)
 
@@ -638,12 +629,17 @@ def path_encrypt_ecb(spark, d):
 def blob_gcm_roundtrip(spark, d):
     """Encrypted and decrypted again, each blob with the key of its own id."""
     rows = fx.table(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("c"), F.sha2("text", 256).alias("id"))
-    rows = rows.withColumn("key", blobs.derived_key(F.col("id"), "secret"))
+    rows = rows.withColumn("key", ciphers.derived_key(F.col("id"), "secret"))
     key = F.col("key")
-    return rows.select("doc_id", F.sha2(blobs.decrypt_gcm(blobs.encrypt_gcm(F.col("c"), key, F.col("id")), key, F.col("id")), 256).alias("digest"))
+    return rows.select("doc_id", F.sha2(ciphers.decrypt_gcm(ciphers.encrypt_gcm(F.col("c"), key, F.col("id")), key, F.col("id")), 256).alias("digest"))
 
 
-@register(None)
+@register(f"WITH {fx.FS} SELECT pth, hash, blobid FROM fs WHERE ('0x' || md5(pth)[1:6])::INT < 0.01 * 16777216")
 def sample_validation(spark, d):
-    """A seeded sample of a hundredth of the catalogue, for inspection."""
-    return fs_of(spark, d).sample(0.01, 42).select("pth", "hash", "blobid")
+    """A hundredth of the catalogue by a hash of the path, for inspection."""
+    place = F.conv(F.substring(F.md5("pth"), 1, 6), 16, 10).cast("int")
+    return fs_of(spark, d).where(place < 0.01 * 16_777_216).select("pth", "hash", "blobid")
+
+
+# last, as it registers its own queries here
+from tallystone.plans import additions  # noqa: E402, F401

@@ -12,10 +12,50 @@ from pyspark.sql import functions as F
 from tallystone.operators.blobs import fanout
 
 
+def _file_system(uri: str):
+    """Arrow's file system for a URI, and the path in it."""
+    from pyarrow import fs
+
+    local = uri.removeprefix("file://").removeprefix("file:")
+    return (fs.LocalFileSystem(), local) if "://" not in local else fs.FileSystem.from_uri(uri)
+
+
+_LISTED = "path string, size long, mtime timestamp"
+
+
 def scan_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root`` with its content left out: path, size, mtime."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    """Every file below ``root``, empty ones too (Spark's own readers leave them out): path, size, mtime.
+
+    The driver lists the root alone; each folder in it is walked by a task.
+    """
+    from pyarrow import fs as arrow
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, _ = _file_system(root)
+        for frame in frames:
+            for path, recursive in zip(frame["path"], frame["recursive"], strict=True):
+                found = store.get_file_info(arrow.FileSelector(path, recursive=True)) if recursive else [store.get_file_info(path)]
+                rows = [(f.path, f.size, pd.Timestamp(f.mtime_ns // 1000, unit="us", tz="UTC")) for f in found if f.is_file]
+                for k in range(0, len(rows), 10_000):
+                    yield pd.DataFrame(rows[k : k + 10_000], columns=["path", "size", "mtime"])
+
+    store, base = _file_system(root)
+    top = [(f.path, not f.is_file) for f in store.get_file_info(arrow.FileSelector(base))]
+    starts = spark.createDataFrame(top, "path string, recursive boolean")
+    return starts.repartition(max(1, min(len(top), 10_000))).mapInPandas(walk, _LISTED)
+
+
+def read_contents(paths: DataFrame, root: str) -> DataFrame:
+    """``path, content`` of the files of ``paths(path)`` in the file system of ``root``; a file is one row."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, _ = _file_system(root)
+        for frame in frames:
+            for path in frame["path"]:
+                with store.open_input_stream(path) as stream:
+                    yield pd.DataFrame({"path": [path], "content": [stream.read()]})
+
+    return paths.select("path").mapInPandas(read, "path string, content binary")
 
 
 def with_inodes(paths: DataFrame) -> DataFrame:
@@ -95,3 +135,69 @@ def write_dataset(paths: DataFrame, root: str) -> None:
 
 def bulk_insert(root: str, records: DataFrame, changeset_id: str) -> None:
     records.withColumn("changeset_id", F.lit(changeset_id)).write.mode("append").partitionBy("changeset_id").parquet(root)
+
+
+def path_list(spark: SparkSession, path: str) -> DataFrame:
+    """One path per line; blank lines are left out."""
+    return spark.read.text(path).select(F.trim("value").alias("pth")).where("pth <> ''")
+
+
+def column_types(spark: SparkSession, table: str) -> DataFrame:
+    """Columns of a catalogue table."""
+    found = [(c.name, c.dataType, c.nullable, c.isPartition) for c in spark.catalog.listColumns(table)]
+    return spark.createDataFrame(found, "name string, type string, nullable boolean, is_partition boolean")
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
+
+
+def backup_folders(disk: DataFrame) -> DataFrame:
+    """Folders named ``back-*`` of a listing ``disk(pth)``."""
+    return disk.select(F.regexp_extract("pth", r"^((?:(?!back-)[^/]*/)*back-[^/]*)", 1).alias("folder")).where("folder <> ''").distinct()
+
+
+def write_metrics(rows: DataFrame, path: str) -> None:
+    """CSV files with a header."""
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
+def append_log(rows: DataFrame, path: str) -> None:
+    """JSON lines behind those that are there."""
+    rows.write.mode("append").json(path)
+
+
+def write_ids(ids: DataFrame, path: str) -> None:
+    """Sorted ids, one per line, each once; files in order of their names."""
+    ids.select(F.col("blobid").alias("value")).distinct().orderBy("value").write.mode("overwrite").text(path)
+
+
+def write_monthly(operations: DataFrame, root: str) -> None:
+    """A log partitioned by month, so that a time range reads its months only."""
+    operations.withColumn("month", F.date_format("operation_timestamp", "yyyy-MM")).write.mode("append").partitionBy("month").parquet(root)
+
+
+def restore_files(restored: DataFrame, root: str) -> DataFrame:
+    """``pth, size`` of the files of ``restored(pth, content, mtime)`` written below ``root``, a mount that all executors share.
+
+    Each under a temporary name first; the time of change is set before it gets its own. Paths that lead out of ``root``
+    raise an error.
+    """
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = os.path.realpath(root)
+        for frame in frames:
+            for path, content, mtime in zip(frame["pth"], frame["content"], frame["mtime"], strict=True):
+                target = os.path.realpath(os.path.join(base, path))
+                if not target.startswith(base + os.sep):
+                    raise ValueError(f"{path!r} leads out of the folder")
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                temporary = f"{target}.{os.getpid()}.tmp"
+                with open(temporary, "wb") as out:
+                    out.write(content)
+                if not pd.isna(mtime):
+                    os.utime(temporary, (mtime, mtime))
+                os.replace(temporary, target)
+            yield pd.DataFrame({"pth": frame["pth"], "size": frame["content"].map(len)})
+
+    return restored.select("pth", "content", "mtime").mapInPandas(write, "pth string, size long")

@@ -62,8 +62,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: A trained classifier and a tokenizer are not SQL. Tests hold the stages' operators against brute force; none runs the
-#: stages or ``run`` itself.
+#: A trained classifier and a tokenizer are not SQL. Tests hold every stage and ``run`` against brute force.
 ORACLE_SQL = None
 
 

@@ -40,6 +40,8 @@ SHARD_ROWS = 8192
 GROUP_ROWS = 32_768
 #: Queries that a task searches for at once.
 BLOCK_ROWS = 4096
+#: Partitions for each group of shards, so that few of them get several groups.
+SPREAD = 4
 #: Vectors kept beyond k while products come from matrix multiplication, whose last bits vary.
 SPARE = 12
 #: Queries at once of those whose k-th best ties with vectors beyond the kept ones.
@@ -248,9 +250,12 @@ def nearest(
     # several rows of one id are several queries: two hashes tell them apart
     asked = queries.distinct().withColumn("q", F.xxhash64("vec_id", "embedding"))
     blocks = materialize(tx.map_arrow(asked.coalesce(max(1, min(groups, asked.sparkSession.sparkContext.defaultParallelism))), lambda b: _blocks(b, block_rows), "block binary"), "queries")
-    held = shards.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int").alias("g"), F.lit(0).alias("is_block"), F.col("shard").alias("data"))
+    # shards are dealt in turn, each file of them beginning one group further
+    row = F.monotonically_increasing_id()
+    turn = F.shiftright(row, 33) + row.bitwiseAND(F.lit((1 << 33) - 1))
+    held = shards.select(F.pmod(turn, F.lit(groups)).cast("int").alias("g"), F.lit(0).alias("is_block"), F.col("shard").alias("data"))
     asks = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(1).alias("is_block"), F.col("block").alias("data"))
-    met = held.unionByName(asks).repartition(groups, "g").sortWithinPartitions("g", "is_block")
+    met = held.unionByName(asks).repartition(SPREAD * groups, "g").sortWithinPartitions("g", "is_block")
     found = materialize(tx.map_arrow(met, lambda b: _search(b, k, factor), _FOUND), "found")
     discard(shards, blocks)
     rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import chat, decontam, htmltext, langid, minhash, packing, substrings, toxicity, vptree, warc
+from tallystone.llm import centroids, chat, convrepair, decontam, htmltext, langid, minhash, packing, substrings, toxicity, vertical, vptree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vertical.components(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=85)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return convrepair.digest(convrepair.repair(convrepair.damage(turns), expected=turns))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -90,4 +103,7 @@ QUERIES = {
     "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -641,5 +641,5 @@ def sample_validation(spark, d):
     return fs_of(spark, d).where(place < 0.01 * 16_777_216).select("pth", "hash", "blobid")
 
 
-# last, as it registers its own queries here
-from tallystone.plans import additions  # noqa: E402, F401
+# last, as they register their own queries here
+from tallystone.plans import additions, stores  # noqa: E402, F401

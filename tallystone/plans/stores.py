@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallystone import fixtures as fx
 from tallystone.operators import blake3, blobs, chains, frames
 from tallystone.plans.registry import register
+from tallystone.streaming import watchdog
 
 
 def documents(spark, d):
@@ -94,3 +95,29 @@ def changeset_restore(spark, d):
     actions = _actions(spark, d)
     checkpoints = chains.checkpoint(actions, F.lit(10)).unionByName(chains.checkpoint(actions, F.lit(20)))
     return chains.restore(actions, checkpoints, chains.verify(_damaged(spark, d), actions))
+
+
+# --- supervision: the SQL follows each worker check by check
+_CHECKS = """s AS (SELECT 'w' || user_id % 8 AS worker, ts, event_id AS id, floor(value) % 100 AS cpu, CASE WHEN event_id % 97 = 0 THEN 'zombie' WHEN event_id % 89 = 0 THEN 'disk-sleep' ELSE 'running' END AS status,
+    event_type = 'signup' AS progress FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY worker ORDER BY ts, id) AS i, sum(cpu) OVER (PARTITION BY worker ORDER BY ts, id ROWS 4 PRECEDING) AS five,
+    max(CASE WHEN progress THEN ts END) OVER (PARTITION BY worker ORDER BY ts, id) AS progressed FROM s),
+begun AS (SELECT worker, 0::BIGINT AS i, 0::BIGINT AS n, NULL::TIMESTAMP AS since, NULL::TIMESTAMP AS restarted, 0::BIGINT AS restarts, NULL::TIMESTAMP AS ts, NULL::VARCHAR AS event, NULL::VARCHAR AS reason FROM o WHERE i = 1),
+w AS (SELECT * FROM begun UNION ALL
+    SELECT worker, i, CASE WHEN event = 'restart' THEN 0 ELSE n END, since, CASE WHEN event = 'restart' THEN ts ELSE restarted END, restarts + CASE WHEN event = 'restart' THEN 1 ELSE 0 END, ts, event, reason FROM (
+        SELECT *, CASE WHEN reason IS NULL THEN NULL WHEN restarted IS NOT NULL AND ts - restarted <= INTERVAL 600 MINUTE THEN 'cooldown' ELSE 'restart' END AS event FROM (
+            SELECT *, CASE WHEN status <> 'running' THEN 'unresponsive' WHEN n >= 5 AND five < 5 * 60 AND ts - greatest(since, progressed) > INTERVAL 120 MINUTE THEN 'stalled' END AS reason FROM (
+                SELECT o.worker, o.i, w.n + 1 AS n, CASE WHEN w.n = 0 THEN o.ts ELSE w.since END AS since, w.restarted, w.restarts, o.ts, o.five, o.status,
+                    CASE WHEN o.progressed >= CASE WHEN w.n = 0 THEN o.ts ELSE w.since END THEN o.progressed END AS progressed
+                FROM w JOIN o ON o.worker = w.worker AND o.i = w.i + 1))))"""
+
+
+@register(f"WITH RECURSIVE {_CHECKS} SELECT worker, ts, event, reason, restarts FROM w WHERE event IS NOT NULL")
+def watchdog_events(spark, d):
+    """Restarts of hung workers, and those put off as the last was too recent."""
+    samples = fx.table(spark, d, "events").selectExpr(
+        "concat('w', user_id % 8) AS worker", "ts", "event_id AS id", "floor(value) % 100 AS cpu", "CASE WHEN event_id % 97 = 0 THEN 'zombie' WHEN event_id % 89 = 0 THEN 'disk-sleep' ELSE 'running' END AS status",
+        "event_type = 'signup' AS progress",
+    )
+    found = watchdog.supervise(samples, watchdog.Limits(idle=60, stalled=120, cooldown=600))
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

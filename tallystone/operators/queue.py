@@ -142,3 +142,36 @@ def summary(queue: DataFrame, fs: DataFrame) -> DataFrame:
     counted = rows.agg(F.count_if(done).alias("completed"), F.count_if(~done & ~gone).alias("pending"), F.count_if(gone).alias("missing"))
     total = F.col("completed") + F.col("pending") + F.col("missing")
     return counted.withColumn("progress", F.coalesce(F.round(F.try_divide(100.0 * (F.col("completed") + F.col("missing")), total), 1), F.lit(0.0)))
+
+
+def commit_claim(table, fs: DataFrame, worker: str, as_of: Column, limit: int, workers: int = 1, number: int = 0) -> int | None:
+    """``claim`` on a ``SnapshotTable`` of the queue: the version in which the claimed rows are this worker's, or None.
+
+    Two drivers never claim one path: of two claims made from one version, the second is made again from what the first left.
+    """
+    from tallystone.sources.snapshots import Rows
+
+    def change(queue: DataFrame) -> Rows:
+        chosen = claim(queue, fs, worker, as_of, limit, workers, number).delta
+        rows = queue.join(chosen.select("pth"), "pth", "left_semi")
+        return Rows(put=rows.withColumn("claimed_at", as_of).withColumn("claimed_by", F.lit(worker)))
+
+    return table.transact(change, f"claim by {worker}")
+
+
+def commit_processing(table, seed: int, as_of: Column, candidates: int = 500) -> int | None:
+    """Mark one of the catalogue's first ``candidates`` eligible files that nobody processes as being processed; None if there is none."""
+    from tallystone.sources.snapshots import Rows
+
+    def change(fs: DataFrame) -> Rows:
+        free = fs.where(eligible() & F.col("processing_started").isNull()).orderBy("pth").limit(candidates)
+        return Rows(put=free.orderBy(F.xxhash64("pth", F.lit(seed)), "pth").limit(1).withColumn("processing_started", as_of))
+
+    return table.transact(change, "processing")
+
+
+def commit_finished(table, paths: DataFrame) -> int | None:
+    """Take paths out of the queue, whatever others do to it meanwhile."""
+    from tallystone.sources.snapshots import Rows
+
+    return table.transact(lambda queue: Rows(drop=paths.select("pth").distinct()), "finished", reads_all=False)

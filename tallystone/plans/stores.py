@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone import fixtures as fx
-from tallystone.operators import blake3, blobs, chains, frames
-from tallystone.plans.registry import register
+from tallystone.operators import blake3, blobs, chains, frames, queue
+from tallystone.plans.registry import fs_of, now, register
+from tallystone.sources import scratch
+from tallystone.sources.snapshots import Rows, SnapshotTable
 from tallystone.streaming import watchdog
 
 
@@ -121,3 +123,28 @@ def watchdog_events(spark, d):
     )
     found = watchdog.supervise(samples, watchdog.Limits(idle=60, stalled=120, cooldown=600))
     return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# --- a queue that several drivers claim from
+_FREE = f"{fx.QUEUE}, free AS (SELECT q.pth, row_number() OVER (ORDER BY fs.size, q.pth) AS r FROM work_queue q JOIN fs USING (pth) WHERE claimed_at IS NULL)"
+
+
+@register(f"""WITH {_FREE} SELECT q.pth, coalesce(CASE WHEN r <= 60 THEN 'second' WHEN r <= 90 THEN 'first' END, claimed_by) AS claimed_by,
+CASE WHEN r <= 90 THEN TIMESTAMP '{fx.AS_OF}' ELSE claimed_at END AS claimed_at FROM work_queue q LEFT JOIN free USING (pth) WHERE r IS NULL OR r <= 90 OR r > 100""")
+def queue_committed(spark, d):
+    """Two drivers claim from one version: the first to commit gets the first 60 paths, the other's claim is made again and
+    gets the next 30; the ten after these are taken out."""
+    fs = fs_of(spark, d).cache()
+    table = SnapshotTable.create(fx.work_queue(fs), scratch.new_path(spark, "queue"), "pth")
+    seen = []
+
+    def late(rows):
+        if not seen:
+            seen.append(queue.commit_claim(SnapshotTable(spark, table.root), fs, "second", now(), 60))
+        chosen = queue.claim(rows, fs, "first", now(), 30).delta
+        return Rows(put=rows.join(chosen.select("pth"), "pth", "left_semi").withColumn("claimed_at", now()).withColumn("claimed_by", F.lit("first")))
+
+    table.transact(late, "claim by first")
+    rest = table.read().where("claimed_at IS NULL").join(fs.select("pth", "size"), "pth").orderBy("size", "pth").limit(10)
+    queue.commit_finished(table, rest)
+    return table.read().select("pth", "claimed_by", "claimed_at")

@@ -1,7 +1,7 @@
 """Language identification: scripts narrow the candidates, Viterbi labels spans of mixed-language text.
 
 Words are runs of letters. Each word's script (the range of its first letter) leaves as candidates the languages
-that were seen to use it; no other can label it. A word's score under a candidate is the mean-free sum of the log-probabilities of its
+that were seen to use it for more than ``script_share`` of their words (0: for any word); no other can label it. A word's score under a candidate is the mean-free sum of the log-probabilities of its
 character n-grams (naive Bayes over ``SIZES``, word ends marked, hashed into ``BUCKETS``). A Viterbi pass over the
 words of a document finds the labelling that is best after ``penalty`` for each change of language; equal labels in a
 row make a span. The document's language is that with most letters, its score that share of all letters.
@@ -34,6 +34,8 @@ SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 SAMPLE = 1000
 PENALTY = 6.0
+#: Stray words of other scripts are in texts of any language.
+SCRIPT_SHARE = 0.01
 #: A worker keeps the scores of words until they are more than these.
 CACHE = 100_000
 UNKNOWN = "und"
@@ -197,12 +199,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY, script_share: float = SCRIPT_SHARE) -> Model:
     """Fit on the texts of ``docs(doc_id, text, lang)``."""
     spark = docs.sparkSession
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text", F.xxhash64("text").alias("_h"))
-    # a share of each language that holds about four samples, then the smallest hashes of that
-    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * sample / F.count("*")).alias("_share"))
+    # a share of each language that holds about four samples of its different documents, then the smallest hashes of that
+    different = F.approx_count_distinct(F.xxhash64("doc_id", "_h"), 0.02)
+    shares = known.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * sample / different).alias("_share"))
     draw = F.pmod(F.xxhash64("doc_id", "_h"), F.lit(1 << 30)) / float(1 << 30)
     few = known.select("doc_id", "lang", "_h").join(F.broadcast(shares), "lang").where(draw < F.col("_share")).dropDuplicates(["doc_id", "lang", "_h"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id", "_h"))
@@ -218,7 +221,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Mo
     weights = np.log(grams / grams.sum(1, keepdims=True)).T if len(languages) else np.zeros((BUCKETS, 0))
     if len(languages):
         weights -= weights.mean(1, keepdims=True)
-    uses = (scripts > 0.01 * scripts.sum(1, keepdims=True)).T
+    uses = (scripts > script_share * scripts.sum(1, keepdims=True)).T
     return Model(languages, weights.astype(np.float32), uses, penalty)
 
 

@@ -1,29 +1,16 @@
-"""Shared storage: the folder that every executor and the driver can reach."""
+"""Shared storage: tables in the folder that every executor and the driver can reach."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
 import weakref
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-#: Used only where the session names no checkpoint folder and has one machine (tests, a laptop).
-DEFAULT_DIR = "file:///tmp/checkpoints"
-
-_scratch: list[tuple[SparkSession, str]] = []
-_paths: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+from tallystone.sources.scratch import new_path, remove, shared_dir
 
+__all__ = ["adopt", "discard", "file_system", "materialize", "new_path", "remove", "settle", "shared_dir"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local default where it is unset and there is no other machine."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        found = DEFAULT_DIR
-    return found.rstrip("/")
+_paths: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def file_system(uri: str):
@@ -52,15 +39,6 @@ def settle(fs, temporary: str, path: str) -> None:
     fs.delete_file(temporary)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, removed when the driver's process ends."""
-    path = f"{shared_dir(spark)}/tallystone/{name}-{uuid.uuid4().hex}"
-    if not _scratch:
-        atexit.register(_clean)
-    _scratch.append((spark, path))
-    return path
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -84,18 +62,3 @@ def discard(*frames: DataFrame) -> None:
         path = _paths.pop(frame, None)
         if path is not None:
             remove(frame.sparkSession, path)
-            _scratch[:] = [x for x in _scratch if x[1] != path]
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _clean() -> None:
-    for spark, path in _scratch:
-        try:
-            remove(spark, path)
-        except Exception:  # the session may be gone by now; the folder is scratch space anyway
-            return

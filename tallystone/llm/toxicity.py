@@ -141,6 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     """Fit on ``labels(doc_id, toxic)`` and the texts of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    # labels may cover more than these documents: only those that have one are drawn from, and count for the shares
+    known = materialize(known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"), "toxicity-labels")
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     nothing = np.zeros(0, _U), np.zeros(0)

@@ -1,8 +1,8 @@
 """Main-text extraction: a bidirectional LSTM in numpy labels every leaf block of a page.
 
 A page becomes the sequence of its text blocks: text between block-level tags, with references decoded and white
-space collapsed. A block's input is its tag path (tags, and words of class, id and role of its ancestors, hashed),
-its words (all of them, hashed), and a few measures (length, share of linked text, punctuation, place). The network
+space collapsed. A block's input is its tag path (tags, hashed, and the words of class, id and role of its ancestors that usual layouts
+have; other names are not seen), its words (all of them, hashed), and a few measures (length, share of linked text, punctuation, place). The network
 reads the sequence in both directions, so each label rests on the whole document. Blocks labelled as main text are
 joined by one space; scripts, styles and other raw elements never make blocks.
 
@@ -40,12 +40,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallystone.llm import text as tx
 from tallystone.llm.storage import file_system, settle, shared_dir
 
-PATH, WORDS, MEASURES = 96, 24, 8
 HIDDEN = 24
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript title iframe textarea noembed noframes xmp".split())
+RAW = frozenset("script style noscript title iframe textarea noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 #: Block elements that never belong to a drawing.
 BREAKS_OUT = frozenset("article aside blockquote body div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
@@ -69,6 +68,35 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 
 
+# What usual layouts call their parts.
+PARTS = {
+    "nav": ["nav", "ul.menu", "div.navbar", "div#navigation", "ul.nav", "div.breadcrumbs", "div.topnav", "div.main-menu", "nav.pagination", "div.tabs", "ol.breadcrumb"],
+    "header": ["header", "div.header", "div#masthead", "div.site-header", "div.topbar", "div.branding", "header.page-header", "div#header"],
+    "footer": ["footer", "div.footer", "div#footer", "div.site-footer", "div.copyright", "div.bottom", "footer.colophon", "div.legal"],
+    "sidebar": ["aside", "div.sidebar", "div#sidebar", "div.widget", "aside.related", "div.related-posts", "div.recommended", "div.trending", "section.most-read", "div.rail", "div.tags"],
+    "notice": ["div.cookie", "div.cookie-notice", "div.consent", "div.gdpr", "div.notice", "div.alert", "div.warning", "div.newsletter", "div.popup", "div.modal", "div.subscribe", "p.disclaimer", "div.paywall", "div#cookie-banner", "div.message"],
+    "advert": ["div.ad", "div.ads", "div.advert", "div.advertisement", "div.sponsored", "div.banner", "div.promo", "section.promotion", "p.ad", "div#ad-top", "aside.ad", "div.sponsor", "div.dfp"],
+    "form": ["form", "form.search", "div.login", "form#signup", "form.contact", "div.search-box", "fieldset"],
+    "comments": ["section#comments", "div.comments", "ol.comment-list", "div#disqus", "ul.commentlist", "div.comment", "div.replies", "section.responses", "div.discussion", "div.reviews"],
+    "share": ["div.share", "ul.social", "div.social-links", "div.byline-share", "div.follow"],
+}
+ANYWHERE = ["page", "site", "main", "top", "most", "list", "box", "message", "post", "posts", "read", "bottom"]
+ARTICLES = ["article", "main>article", "div.content", "div.post-body", "div#main-content", "div.entry-content", "section.story", "main", "div.article", "div#content>div.post", "article.post>div.entry", "div.container>div.row>article", "div.text", "body", "div.wrapper>div.main", "section.article-body"]
+
+
+def _known_names() -> dict[str, int]:
+    """The words of class, id and role that are inputs of their own; any other name says nothing."""
+    specs = [spec for found in PARTS.values() for spec in found] + ARTICLES
+    words = {w for spec in specs for w in _TOKEN.findall(" ".join(re.findall(r"[.#]([\w-]+)", spec)).lower())}
+    return {w: i for i, w in enumerate(sorted(words))}
+
+
+NAMES = _known_names()
+#: Inputs of a block: hashed tags (the last one, and all), known names, hashed words, measures.
+TAGS, WORDS, MEASURES = 32, 24, 8
+PATH = 2 * TAGS + len(NAMES)
+
+
 @lru_cache(50_000)
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text)
@@ -85,8 +113,7 @@ class Element:
         self.vector: np.ndarray | None = None
 
     def path(self) -> np.ndarray:
-        """The last element's tag, the bag of all ancestors' tags, and how often their class and id words occur."""
-        third = PATH // 3
+        """The last element's tag, the bag of all ancestors' tags, and how often known names occur among theirs."""
         todo, node = [], self
         while node.vector is None and node.parent is not None:
             todo.append(node)
@@ -95,11 +122,12 @@ class Element:
             node.vector = np.zeros(PATH, np.float32)
         for child in reversed(todo):
             out = child.parent.vector.copy()
-            out[:third] = 0
-            out[_hash("last " + child.name) % third] = 1
-            out[third + _hash("tag " + child.name) % third] = 1
+            out[:TAGS] = 0
+            out[_hash("last " + child.name) % TAGS] = 1
+            out[TAGS + _hash("tag " + child.name) % TAGS] = 1
             for token in child.names:
-                out[2 * third + _hash("name " + token) % third] += 1
+                if token in NAMES:
+                    out[2 * TAGS + NAMES[token]] += 1
             child.vector = out
         return self.vector
 
@@ -411,27 +439,13 @@ def _new_model(rng: np.random.Generator, inputs: int, hidden: int) -> Model:
 
 _MARK = ""
 
-# What usual layouts call their parts.
-PARTS = {
-    "nav": ["nav", "ul.menu", "div.navbar", "div#navigation", "ul.nav", "div.breadcrumbs", "div.topnav", "div.main-menu", "nav.pagination", "div.tabs", "ol.breadcrumb"],
-    "header": ["header", "div.header", "div#masthead", "div.site-header", "div.topbar", "div.branding", "header.page-header", "div#header"],
-    "footer": ["footer", "div.footer", "div#footer", "div.site-footer", "div.copyright", "div.bottom", "footer.colophon", "div.legal"],
-    "sidebar": ["aside", "div.sidebar", "div#sidebar", "div.widget", "aside.related", "div.related-posts", "div.recommended", "div.trending", "section.most-read", "div.rail", "div.tags"],
-    "notice": ["div.cookie", "div.cookie-notice", "div.consent", "div.gdpr", "div.notice", "div.alert", "div.warning", "div.newsletter", "div.popup", "div.modal", "div.subscribe", "p.disclaimer", "div.paywall", "div#cookie-banner", "div.message"],
-    "advert": ["div.ad", "div.ads", "div.advert", "div.advertisement", "div.sponsored", "div.banner", "div.promo", "section.promotion", "p.ad", "div#ad-top", "aside.ad", "div.sponsor", "div.dfp"],
-    "form": ["form", "form.search", "div.login", "form#signup", "form.contact", "div.search-box", "fieldset"],
-    "comments": ["section#comments", "div.comments", "ol.comment-list", "div#disqus", "ul.commentlist", "div.comment", "div.replies", "section.responses", "div.discussion", "div.reviews"],
-    "share": ["div.share", "ul.social", "div.social-links", "div.byline-share", "div.follow"],
-}
-ARTICLES = ["article", "main>article", "div.content", "div.post-body", "div#main-content", "div.entry-content", "section.story", "main", "div.article", "div#content>div.post", "article.post>div.entry", "div.container>div.row>article", "div.text", "body", "div.wrapper>div.main", "section.article-body"]
-
-
-def _open(spec: str) -> tuple[str, str]:
-    """Opening and closing tags of a path like ``main>div.post#x``."""
+def _open(spec: str, name: str | None = None) -> tuple[str, str]:
+    """Opening and closing tags of a path like ``main>div.post#x``; ``name`` stands for all its names, an empty one for none."""
     before, after = "", ""
     for part in spec.split(">"):
-        tag, kind, name = re.fullmatch(r"(\w+)([.#]?)([\w-]*)", part).groups()
-        attribute = {"": "", ".": f' class="{name}"', "#": f' id="{name}"'}[kind]
+        tag, kind, own = re.fullmatch(r"(\w+)([.#]?)([\w-]*)", part).groups()
+        kind, own = (kind, own) if name is None else (kind if name else "", name)
+        attribute = {"": "", ".": f' class="{own}"', "#": f' id="{own}"'}[kind]
         before += f"<{tag}{attribute}>"
         after = f"</{tag}>{after}"
     return before, after
@@ -456,8 +470,14 @@ def training_page(rng: random.Random) -> str:
     def links(n: int) -> str:
         return "".join(f'<li><a href="/{word()}">{sentence(1, 4)}</a></li>' for _ in range(n))
 
+    def other() -> str:
+        """A name that no layout is known by, or a word that many use for anything."""
+        return "-".join(rng.choice(ANYWHERE) if rng.random() < 0.25 else word() for _ in range(rng.randint(1, 2)))
+
     def junk(kind: str, inside: bool = False) -> str:
         before, after = _open(rng.choice(PARTS[kind]))
+        if kind in ("nav", "share", "form") and rng.random() < 0.2:
+            before, after = _open(rng.choice(PARTS[kind]), rng.choice(["", other()]))
         if kind in ("nav", "share"):
             body = links(rng.randint(1, 8))
             body = body if before.startswith(("<ul", "<ol")) else rng.choice([f"<ul>{body}</ul>", " | ".join(f'<a href="#">{word()}</a>' for _ in range(rng.randint(1, 7)))])
@@ -496,7 +516,18 @@ def training_page(rng: random.Random) -> str:
         return f"<pre>{m}{prose(2)}</pre>"
 
     kinds = list(PARTS)
-    page = "<!DOCTYPE html><html><head><title>" + sentence(2, 8) + "</title><style>p{}</style></head><body>"
+    page = rng.choice(["<!DOCTYPE html>", ""]) + "<html><head><title>" + sentence(2, 8) + "</title><style>p{}</style></head><body>"
+    if rng.random() < 0.12:  # a page of little else: bare text, a few paragraphs or blocks of any names
+        if rng.random() < 0.3:
+            page = ""
+        if rng.random() < 0.3:
+            page += junk(rng.choice(["nav", "header", "notice", "advert"]))
+        few = rng.randint(1, 4)
+        kind = rng.choice(["text", "p", "div", "own"])
+        for _ in range(1 if kind == "text" else few):
+            inner = f"{_MARK}{rng.choice([prose(2), sentence(1, 6), word()])}"
+            page += {"text": inner, "p": f"<p>{inner}</p>", "div": f'<div class="{other()}">{inner}</div>', "own": own()}[kind]
+        return page + (junk("footer") if rng.random() < 0.4 else "")
     for kind in ("header", "nav", "notice", "advert", "form"):
         if rng.random() < {"nav": 0.8, "advert": 0.5}.get(kind, 0.35):
             page += junk(kind)
@@ -505,15 +536,22 @@ def training_page(rng: random.Random) -> str:
     bare = rng.random() < 0.06
     if not bare:
         spec = rng.choice(ARTICLES)
-        before, after = ("", "") if spec == "body" else _open(spec)
+        # half of the articles are in elements that no name tells
+        named = None if rng.random() < 0.5 else rng.choice(["", other(), other()])
+        if named is not None and rng.random() < 0.6:
+            spec = rng.choice(["div.x", "div#x", "section.x", "div.x>div.x", "td.x", "main.x", "div.x>div.x>div.x"])
+        before, after = ("", "") if spec == "body" else _open(spec, named)
         body = ""
         if rng.random() < 0.85:
             title = f"<h1>{_MARK}{sentence(2, 12)}</h1>"
             body += rng.choice([title, title, title, f"<header>{title}</header>"]) if spec.startswith(("article", "main>article")) else title
         for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 9, 14])):
-            body += own()
-            if rng.random() < 0.06:
-                body += junk(rng.choice(["advert", "sidebar", "share", "notice", "form"]), True)
+            piece = own()
+            if rng.random() < 0.1:
+                piece = f'<div class="{other()}">{piece}</div>'
+            body += piece
+            if rng.random() < 0.15:
+                body += rng.choice([junk(rng.choice(["advert", "sidebar", "share", "notice", "form", "comments", "comments"]), True), f"<button>{sentence(1, 3)}</button>"])
         page += before + (body or own()) + after
     for kind in ("share", "comments", "sidebar", "form", "notice", "advert", "nav"):
         if rng.random() < 0.25:
@@ -524,7 +562,7 @@ def training_page(rng: random.Random) -> str:
 
 
 @lru_cache(2)
-def train(pages: int = 1500, epochs: int = 6, batch: int = 24, hidden: int = HIDDEN, seed: int = 7) -> Model:
+def train(pages: int = 3000, epochs: int = 6, batch: int = 24, hidden: int = HIDDEN, seed: int = 7) -> Model:
     """Fit on generated pages."""
     maker, rng = random.Random(seed), np.random.default_rng(seed)
     found = [leaf_blocks(training_page(maker)) for _ in range(pages)]
@@ -564,9 +602,10 @@ def train(pages: int = 1500, epochs: int = 6, batch: int = 24, hidden: int = HID
 
 
 def kept_model(spark: SparkSession) -> Model:
-    """``train()``, once for a shared folder: the weights are kept there, under a name of this module's source."""
+    """``train()``, once for a shared folder: the weights are kept there, under a name of all source that they rest on."""
     fs, folder = file_system(f"{shared_dir(spark)}/tallystone/models")
-    path = f"{folder}/htmltext-{hashlib.sha256(inspect.getsource(sys.modules[__name__]).encode()).hexdigest()[:16]}.npz"
+    rests_on = [inspect.getsource(m) for m in (sys.modules[__name__], tx)] + [xxhash.VERSION, np.__version__]
+    path = f"{folder}/htmltext-{hashlib.sha256(chr(0).join(rests_on).encode()).hexdigest()[:16]}.npz"
     if fs.get_file_info(path).is_file:
         with fs.open_input_stream(path) as stored:
             saved = np.load(io.BytesIO(stored.read()))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystone.operators.names import similar  # noqa: F401
+
 # Code points of invisible markers, and of quotes and what they fold to.
 MARKERS = "[‪-‮​-‏﻿]"
 QUOTES = "‘’‚‛ʼ´`“”„‟«»″"
@@ -110,17 +112,6 @@ def fuzzy_match(wanted: DataFrame, disk: DataFrame, limit: int = 2) -> DataFrame
     return out
 
 
-def similar(wanted: DataFrame, disk: DataFrame, ratio: float = 0.85) -> DataFrame:
-    """Like ``fuzzy_match``, by 1 - distance / longer length above ``ratio``."""
-    names = disk.select("parent", "name").distinct().withColumn("_len", F.char_length("name"))
-    n = F.char_length("db_name")
-    low, high = F.ceil(n * ratio).cast("int"), F.floor(n / ratio).cast("int")
-    near = wanted.withColumn("_len", F.explode(F.sequence(low, F.greatest(low, high)))).join(names, ["parent", "_len"])
-    score = 1 - F.levenshtein("db_name", "name") / F.greatest(n, F.char_length("name"))
-    best = near.withColumn("s", score).where(F.col("s") > ratio).groupBy("parent", "db_name").agg(F.max(F.struct("s", "name")).alias("b"))
-    return best.select("parent", "db_name", "b.name", F.round("b.s", 6).alias("score"))
-
-
 def walk(paths: DataFrame, disk: DataFrame, depth: int, strategies=STRATEGIES) -> DataFrame:
     """Repair ``paths(pth)`` part by part against ``disk(parent, name)``: one round of joins a level, null if a part has no match."""
     rows = paths.select("pth", F.split("pth", "/").alias("_parts"), F.lit("").alias("_done"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystone import fixtures as fx
-from tallystone.operators import blake3, blobs, chains, frames, queue
+from tallystone.operators import blake3, blobs, chains, frames, names, queue
 from tallystone.plans.registry import fs_of, now, register
 from tallystone.sources import scratch
 from tallystone.sources.snapshots import Rows, SnapshotTable
@@ -148,3 +148,14 @@ def queue_committed(spark, d):
     rest = table.read().where("claimed_at IS NULL").join(fs.select("pth", "size"), "pth").orderBy("size", "pth").limit(10)
     queue.commit_finished(table, rest)
     return table.read().select("pth", "claimed_by", "claimed_at")
+
+
+# --- similar names: the SQL compares all names of a folder
+@register("""WITH disk AS (SELECT DISTINCT p_brand AS parent, lower(p_type) || ' ' || p_name AS name, p_partkey FROM part),
+asked AS (SELECT DISTINCT parent, CASE p_partkey % 4 WHEN 1 THEN name[:4] || 'x' || name[6:] WHEN 2 THEN name[2:] || '!' WHEN 3 THEN upper(name) ELSE name END AS db_name FROM disk),
+s AS (SELECT DISTINCT asked.parent, db_name, name, CASE WHEN db_name = name THEN 1.0 ELSE 1 - levenshtein(db_name, name)::DOUBLE / greatest(len(db_name), len(name)) END AS s FROM asked JOIN disk USING (parent)),
+r AS (SELECT *, row_number() OVER (PARTITION BY parent, db_name ORDER BY s DESC, name) AS r FROM s WHERE s > 0.85) SELECT parent, db_name, name, round(s, 6) AS score FROM r WHERE r = 1""")
+def similar_names(spark, d):
+    disk = fx.table(spark, d, "part").select(F.col("p_brand").alias("parent"), F.concat(F.lower("p_type"), F.lit(" "), "p_name").alias("name"), "p_partkey")
+    damaged = F.expr("""CASE p_partkey % 4 WHEN 1 THEN concat(substring(name, 1, 4), 'x', substring(name, 6)) WHEN 2 THEN concat(substring(name, 2), '!') WHEN 3 THEN upper(name) ELSE name END""")
+    return names.similar(disk.select("parent", damaged.alias("db_name")), disk)

@@ -171,7 +171,7 @@ def root(values: bytes) -> bytes:
 
 
 #: Bytes of contents hashed at once.
-BATCH = 16 << 20
+BATCH = 4 << 20
 
 
 @F.pandas_udf(T.StringType())

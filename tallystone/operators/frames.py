@@ -32,7 +32,7 @@ from tallystone.operators.blobs import CHUNK, filetype
 #: Read at once from a document.
 BLOCK = 1 << 20
 #: Bytes of frames that are hashed together.
-BATCH = 16 << 20
+BATCH = 4 << 20
 
 _ENCODED = "path string, frame long, size long, pieces binary, whole binary, head binary, data string"
 _DECODED = "blobid string, frame long, length long, pieces binary, whole binary, content binary"

@@ -31,10 +31,11 @@ def blob_frames(spark, d):
     chunk, piece = 2048, 1024
     rows = documents(spark, d).select("doc_id", F.encode("text", "utf-8").alias("content"))
     rows = rows.withColumn("n", F.ceil(F.octet_length("content") / chunk).cast("long")).withColumn("blobid", F.concat("doc_id", F.lit("-"), blake3.blake3("content")))
-    cut = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("n", F.lit(1)))).alias("k")).where("k <= n AND NOT (doc_id % 10 = 3 AND k = n)")
-    frame = F.when((F.col("doc_id") % 10 == 4) & (F.col("n") > 1), F.pmod(F.col("k") - 2, "n")).otherwise(F.col("k") - 1)
-    data = F.base64(blobs.compressed(F.substring("content", (F.col("k") - 1) * chunk + 1, F.lit(chunk))))
-    shuffled = cut.select("blobid", frame.alias("frame"), data.alias("data"))
+    # cut before rows are made of them, so that no frame carries its whole text
+    cuts = F.transform(F.sequence(F.lit(1).cast("long"), F.greatest("n", F.lit(1))), lambda k: F.substring("content", (k - 1) * chunk + 1, F.lit(chunk)))
+    cut = rows.select("doc_id", "blobid", "n", F.posexplode(cuts)).withColumn("k", F.col("pos") + 1).where("k <= n AND NOT (doc_id % 10 = 3 AND k = n)")
+    frame = F.when((F.col("doc_id") % 10 == 4) & (F.col("n") > 1), F.pmod(F.col("k") - 2, "n")).otherwise(F.col("k") - 1).cast("long")
+    shuffled = cut.select("blobid", frame.alias("frame"), F.base64(blobs.compressed("col")).alias("data"))
     # names carry the document, as several have one text
     decoded = frames.decoded(shuffled, chunk, piece)
     found = frames.verified(decoded, rows, F.substring_index("blobid", "-", -1))

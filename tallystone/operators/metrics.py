@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallystone.operators import ranks
+
 
 def window_throughput(rows: DataFrame, time: str, start: Column, stop: Column) -> DataFrame:
     """Count within a closed window, and per hour of the window."""
@@ -19,38 +21,40 @@ def recent(rows: DataFrame, time: str, as_of: Column, minutes: int) -> DataFrame
 
 def percentiles(rows: DataFrame, by: str, value: str) -> DataFrame:
     """By linear interpolation."""
-    p = lambda q: F.round(F.percentile(value, F.lit(q)), 6)
-    return rows.groupBy(by).agg(p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.count("*").alias("n"))
+    found = ranks.quantiles(rows, by, value, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    return found.select(by, *(F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")), "n")
 
 
 def nearest_rank(rows: DataFrame, by: str, value: str) -> DataFrame:
     """The element at floor(n/2), and at floor(0.95 n), or the largest if there are up to 20; counted from 0."""
-    w = Window.partitionBy(by).orderBy(value)
-    ranked = rows.where(F.col(value).isNotNull()).select(by, value, F.row_number().over(w).alias("r"), F.count("*").over(Window.partitionBy(by)).alias("n"))
-    high = F.when(F.col("n") > 20, F.floor(F.col("n") * 0.95) + 1).otherwise(F.col("n"))
-    return ranked.groupBy(by).agg(F.max(F.when(F.col("r") == F.floor(F.col("n") / 2) + 1, F.col(value))).alias("median"), F.max(F.when(F.col("r") == high, F.col(value))).alias("p95"))
+    n = F.col("total")
+    high = F.when(n > 20, F.floor(n * 0.95)).otherwise(n - 1)
+    return ranks.at_places(rows, by, value, {"median": F.floor(n / 2), "p95": high})
 
 
 def thrashing(rows: DataFrame, by: str, value: str) -> DataFrame:
     """p95 / p50 above 5, severe above 10, from 20 samples on."""
-    found = rows.groupBy(by).agg(F.percentile(value, F.lit(0.5)).alias("a"), F.percentile(value, F.lit(0.95)).alias("b"), F.count("*").alias("n"))
+    found = ranks.quantiles(rows, by, value, {"a": 0.5, "b": 0.95})
     ratio = F.round(F.try_divide(F.col("b"), F.col("a")), 6)
     state = F.when(F.col("n") < 20, "unknown").when(ratio > 10, "severe").when(ratio > 5, "thrashing").otherwise("normal")
     return found.select(by, ratio.alias("ratio"), state.alias("state"))
 
 
 def latest(rows: DataFrame, by: str, time: str, tie: str, n: int) -> DataFrame:
-    """The last ``n`` rows of each group: a ring buffer."""
+    """The last ``n`` rows of each group: a ring buffer.
+
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows (1000) Spark keeps only ``n`` of each group and task
+    before it shuffles, so a group of any size sends a few.
+    """
     w = Window.partitionBy(by).orderBy(F.desc(time), F.desc(tie))
     return rows.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
 
 
 def idle_workers(samples: DataFrame, threshold: float = 40.0) -> DataFrame:
     """``samples(worker, ts, id, cpu)``: the mean of each worker's last five samples; idle if below; null before five."""
-    w = Window.partitionBy("worker").orderBy("ts", "id").rowsBetween(-4, 0)
-    rows = samples.select("worker", "ts", "id", F.avg("cpu").over(w).alias("mean"), F.count("*").over(w).alias("n"))
-    last = rows.groupBy("worker").agg(F.max_by(F.struct("mean", "n"), F.struct("ts", "id")).alias("l"))
-    mean = F.when(F.col("l.n") == 5, F.round("l.mean", 6))
+    five = latest(samples.select("worker", "ts", "id", "cpu"), "worker", "ts", "id", 5)
+    last = five.groupBy("worker").agg(F.avg("cpu").alias("mean"), F.count("*").alias("n"))
+    mean = F.when(F.col("n") == 5, F.round("mean", 6))
     return last.select("worker", mean.alias("mean_cpu"), (mean < threshold).alias("idle"))
 
 

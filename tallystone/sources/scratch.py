@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no checkpoint folder and has one machine (tests, a laptop).
 DEFAULT_DIR = "file:///tmp/checkpoints"
@@ -41,6 +41,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a table in that folder: later jobs read it, and don't depend on the executors that made it."""
+    path = new_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

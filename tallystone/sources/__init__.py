@@ -6,10 +6,11 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystone.operators.blobs import fanout
+from tallystone.sources import trees
 
 
 def _file_system(uri: str):
@@ -20,29 +21,9 @@ def _file_system(uri: str):
     return (fs.LocalFileSystem(), local) if "://" not in local else fs.FileSystem.from_uri(uri)
 
 
-_LISTED = "path string, size long, mtime timestamp"
-
-
 def scan_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``, empty ones too (Spark's own readers leave them out): path, size, mtime.
-
-    The driver lists the root alone; each folder in it is walked by a task.
-    """
-    from pyarrow import fs as arrow
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, _ = _file_system(root)
-        for frame in frames:
-            for path, recursive in zip(frame["path"], frame["recursive"], strict=True):
-                found = store.get_file_info(arrow.FileSelector(path, recursive=True)) if recursive else [store.get_file_info(path)]
-                rows = [(f.path, f.size, pd.Timestamp(f.mtime_ns // 1000, unit="us", tz="UTC")) for f in found if f.is_file]
-                for k in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[k : k + 10_000], columns=["path", "size", "mtime"])
-
-    store, base = _file_system(root)
-    top = [(f.path, not f.is_file) for f in store.get_file_info(arrow.FileSelector(base))]
-    starts = spark.createDataFrame(top, "path string, recursive boolean")
-    return starts.repartition(max(1, min(len(top), 10_000))).mapInPandas(walk, _LISTED)
+    """Every file below ``root``, empty ones too (Spark's own readers leave them out): path, size, mtime. See ``trees.scan``."""
+    return trees.scan(spark, root)
 
 
 def read_contents(paths: DataFrame, root: str) -> DataFrame:
@@ -173,8 +154,38 @@ def write_ids(ids: DataFrame, path: str) -> None:
 
 
 def write_monthly(operations: DataFrame, root: str) -> None:
-    """A log partitioned by month, so that a time range reads its months only."""
-    operations.withColumn("month", F.date_format("operation_timestamp", "yyyy-MM")).write.mode("append").partitionBy("month").parquet(root)
+    """A log partitioned by month, so that a time range reads its months only. A month is dealt to as many tasks as it needs, so
+    that tasks don't write a small file for each month; rows without a time are in a partition of their own."""
+    rows = operations.withColumn("month", F.date_format("operation_timestamp", "yyyy-MM")).hint("rebalance", "month")
+    rows.write.mode("append").partitionBy("month").parquet(root)
+
+
+def read_monthly(spark: SparkSession, root: str, start: Column | None = None, stop: Column | None = None) -> DataFrame:
+    """Rows of the log from ``start`` on and before ``stop``; only the folders of their months are listed in the scan.
+
+    Without both bounds everything is read, rows without a time too.
+    """
+    rows = spark.read.parquet(root)
+    time, month = F.col("operation_timestamp"), F.col("month").cast("string")
+    if start is not None:
+        rows = rows.where((time >= start) & (month >= F.date_format(start, "yyyy-MM")))
+    if stop is not None:
+        rows = rows.where((time < stop) & (month <= F.date_format(stop, "yyyy-MM")))
+    return rows
+
+
+def during(log: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows of the log in each of ``windows(label, start, stop)``, the stop left out: the log's columns and ``label``.
+
+    Joined by month first, so that Spark reads the months that occur in windows and no others; windows that are empty
+    or lack a bound have no rows, and of overlapping ones each has its own.
+    """
+    asked = windows.where("start < stop").select("label", "start", "stop")
+    first, last = F.trunc(F.col("start"), "month"), F.trunc(F.col("stop"), "month")
+    months = asked.withColumn("_month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))).withColumn("_month", F.date_format("_month", "yyyy-MM"))
+    time = F.col("operation_timestamp")
+    met = log.join(months, F.col("month") == F.col("_month")).where((time >= F.col("start")) & (time < F.col("stop")))
+    return met.select(*log.columns, "label")
 
 
 def restore_files(restored: DataFrame, root: str) -> DataFrame:

@@ -642,4 +642,4 @@ def sample_validation(spark, d):
 
 
 # last, as they register their own queries here
-from tallystone.plans import additions, stores  # noqa: E402, F401
+from tallystone.plans import additions, listings, stores  # noqa: E402, F401

@@ -7,7 +7,7 @@ full up to C mod length. Every task fills its classes' bins on its own; the piec
 when its input ends (fewer than k of each class) share bins by first fit, the longest first.
 
 Pre-tokens are found with numpy for whole slices of text: the tokenizer's pattern is a matter of character classes
-and runs. Only distinct pre-tokens go through the tokenizer's merges; a worker keeps them until they are more than ``CACHE``.
+and runs; the classes are the tokenizer's own. Only distinct pre-tokens go through the tokenizer's merges; a worker keeps them until they are more than ``CACHE``.
 
 Added tokens of the tokenizer (``<|endoftext|>``) are found in a text first, as the tokenizer does; each is its one id.
 Cases: null text is empty, which is the one id ``end``;
@@ -42,22 +42,40 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 _LETTER, _NUMBER, _OTHER, _SPACE = 0, 1, 2, 3
 
 
-def _classes() -> np.ndarray:
-    def one(c: int) -> int:
-        kind = unicodedata.category(chr(c))[0]
-        if c in (9, 10, 11, 12, 13, 0x85) or kind == "Z" and c != 0x200B:
-            return _SPACE
-        return {"L": _LETTER, "N": _NUMBER}.get(kind, _OTHER)
+class Classes:
+    r"""By code point: letter, number, white space or other, as the tokenizer's own Unicode tables have it.
 
-    return np.array([one(c) for c in range(0x110000)], np.uint8)
+    A code point is asked for when a text first holds it: behind ``a`` a letter starts no piece, behind ``1`` a number.
+    """
 
+    _UNKNOWN = 255
 
-def pretokens(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    r"""Starts of the pieces of ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``, by text."""
+    def __init__(self, splitter):
+        self.splitter = splitter
+        self.kinds = np.full(0x110000, self._UNKNOWN, np.uint8)
+        # white space doesn't change between versions of Unicode
+        spaces = [c for c in range(0x3001) if c in (9, 10, 11, 12, 13, 0x85) or unicodedata.category(chr(c))[0] == "Z"]
+        self.kinds[spaces] = _SPACE
+
+    def _joined(self, lead: str, points: list[int]) -> np.ndarray:
+        starts = {a for _, (a, _) in self.splitter.pre_tokenize_str("".join(f"{lead}{chr(c)}\n" for c in points))}
+        return np.array([3 * i + 1 not in starts for i in range(len(points))], bool)
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        found = self.kinds[points]
+        new = np.unique(points[found == self._UNKNOWN])
+        if not len(new):
+            return found
+        asked = new.tolist()
+        self.kinds[new] = np.where(self._joined("a", asked), _LETTER, np.where(self._joined("1", asked), _NUMBER, _OTHER))
+        return self.kinds[points]
+
+
+def pretokens(points: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    r"""Starts of the pieces of ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``, by text. ``kind``: classes of the points."""
     n = len(points)
     if not n:
         return np.zeros(0, np.int64)
-    kind = tx._table("pretoken classes", _classes)[points]
     opens = np.zeros(n, bool)
     opens[offsets[:-1][np.diff(offsets) > 0]] = True
     closes = np.zeros(n, bool)
@@ -112,6 +130,7 @@ class Encoder:
     def __init__(self, path: str):
         whole = _tokenizer(path)
         self.model = whole.model
+        self.classes = Classes(whole.pre_tokenizer)
         added = whole.get_added_tokens_decoder()
         if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError("added tokens of whole words, or that take white space with them, are not supported")
@@ -186,7 +205,7 @@ class Encoder:
         raw, byte_offsets = tx.utf8(column)
         points, offsets = tx.code_points(column)
         lead = np.flatnonzero((raw & 0xC0) != 0x80)
-        start = pretokens(points, offsets)
+        start = pretokens(points, offsets, self.classes.of(points))
         edge = np.append(lead[start], len(raw)).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edge), pa.py_buffer(np.ascontiguousarray(raw))])
         coded = pieces.dictionary_encode()

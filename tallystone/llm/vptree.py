@@ -18,7 +18,8 @@ a tree did not keep are compared with its whole shard.
 Cases: vectors that are null, zero, of another length than most, or that hold null or non-finite components take no
 part, as candidates or queries; null vec_ids neither; candidates of a query are all rows of other vec_ids; repeated
 rows are candidates each; a repeated query row is one query; fewer candidates than k are all returned; an empty table
-gives no rows; other columns are ignored.
+gives no rows; other columns are ignored. Scores beyond the largest double are infinite and tie; sums of both
+infinities are no number and come last, as minus infinity would.
 """
 
 from __future__ import annotations
@@ -46,14 +47,26 @@ SPREAD = 4
 SPARE = 12
 #: Queries at once of those whose k-th best ties with vectors beyond the kept ones.
 TIED = 64
+#: Components within these powers of two have squares and products in range.
+USUAL = 400
 _SLACK = 1e-9
 
 _FOUND = "q long, query_id long, vec_id long, score double"
 
 
+def _power(vectors: np.ndarray) -> np.ndarray:
+    """Of each matrix or vector, the power of two to divide by: 0 where the largest component is of usual size."""
+    power = np.frexp(np.abs(vectors).reshape(len(vectors), -1).max(1))[1]
+    return np.where(np.abs(power) > USUAL, power, 0)
+
+
 class Tree:
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
         """``points``: distinct vectors of one shard."""
+        # numbers whose squares would overflow or vanish are searched for as multiples of a power of two
+        self.power = int(_power(points[None])[0])
+        self.original = points if self.power else None
+        points = np.ldexp(points, -self.power) if self.power else points
         squares = np.einsum("ij,ij->i", points, points)
         self.top = float(squares.max())
         self.points = np.hstack([points, np.sqrt(np.maximum(0.0, self.top - squares))[:, None]])
@@ -62,7 +75,7 @@ class Tree:
 
     @property
     def vectors(self) -> np.ndarray:
-        return self.points[:, :-1]
+        return self.points[:, :-1] if self.original is None else self.original
 
     def _build(self, rows: np.ndarray):
         if len(rows) <= self.leaf:
@@ -78,7 +91,9 @@ class Tree:
         return rows[centre], half, self._build(rows[near]), self._build(rows[~near])
 
     def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the ``k`` best vectors for each query (-1: none), and their products, in no order."""
+        """Rows of the ``k`` best vectors for each query (-1: none), and their products, in no order.
+
+        ``queries`` and products: multiples of powers of two, by query and of the tree."""
         self.q = np.hstack([queries, np.zeros((len(queries), 1))])
         self.norms = np.einsum("ij,ij->i", queries, queries) + self.top
         self.rows = np.full((len(queries), k), -1, np.int64)
@@ -98,7 +113,7 @@ class Tree:
         if not len(active):
             return
         if not isinstance(node, tuple):
-            products = self.q[active, :-1] @ self.vectors[node].T
+            products = self.q[active, :-1] @ self.points[node, :-1].T
             k = self.best.shape[1]
             values = np.hstack([self.best[active], products])
             rows = np.hstack([self.rows[active], np.broadcast_to(node, products.shape)])
@@ -150,7 +165,8 @@ class Shard:
         score = np.zeros(len(which))
         for step in range(0, len(which), 50_000):
             part = slice(step, step + 50_000)
-            score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1]
+            with np.errstate(over="ignore", invalid="ignore"):
+                score[part] = np.cumsum(queries[which[part]] * distinct[vector[part]], axis=1)[:, -1] + 0.0  # no negative zero
         # of equal vectors, the k + 1 smallest ids (one may be the query's own)
         many = np.minimum(copies[vector], k + 1)
         item = np.repeat(np.arange(len(which)), many)
@@ -162,30 +178,38 @@ class Shard:
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         distinct = self.tree.vectors
         kept = min(k + 1 + SPARE, len(distinct))
-        rows, products = self.tree.search(queries, kept, factor)
+        power = _power(queries)
+        scaled = np.ldexp(queries, -power[:, None]) if power.any() else queries
+        power = power + self.tree.power
+        rows, products = self.tree.search(scaled, kept, factor)
         which, at = np.nonzero(rows >= 0)
         parts = [self.best(query_ids, queries, k, which, rows[which, at])]
         if kept < len(distinct):
             # queries whose k-th best may tie with vectors that were not kept: all vectors that reach it
             which, found, score = parts[0]
-            slack = 8 * distinct.shape[1] * np.finfo(float).eps * np.sqrt(self.tree.top * np.einsum("ij,ij->i", queries, queries))
-            last = np.full(len(queries), -np.inf)
+            size = distinct.shape[1]
+            slack = 8 * size * np.finfo(float).eps * np.sqrt(self.tree.top * np.einsum("ij,ij->i", scaled, scaled))
+            low = np.full(len(queries), np.inf)
+            np.minimum.at(low, which, np.where(np.isnan(score), -np.inf, score))
             full = np.bincount(which, minlength=len(queries)) == k
-            np.minimum.at(low := np.full(len(queries), np.inf), which, score)
-            last[full] = low[full]
+            last = np.full(len(queries), -np.inf)
+            # scores beyond the largest number are equal, as are those that differ by less than the smallest
+            with np.errstate(over="ignore", under="ignore"):
+                last[full] = np.ldexp(np.minimum(low[full], np.finfo(float).max), -power[full])
+                slack += np.ldexp(size * np.finfo(float).smallest_subnormal, -power)
             tied = last <= products.min(1) + slack
             parts[0] = tuple(x[~tied[which]] for x in parts[0])
             again = np.flatnonzero(tied)
             for step in range(0, len(again), TIED):
                 own = again[step : step + TIED]
-                q, vector = np.nonzero(queries[own] @ distinct.T >= (last[own] - slack[own])[:, None])
+                q, vector = np.nonzero(scaled[own] @ self.tree.points[:, :-1].T >= (last[own] - slack[own])[:, None])
                 parts.append(self.best(query_ids, queries, k, own[q], vector))
         return tuple(map(np.concatenate, zip(*parts, strict=True)))
 
 
 def top(which: np.ndarray, found: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each query's k rows of highest score, ties to the smaller id."""
-    order = np.lexsort((found, -score, which))
+    order = np.lexsort((found, np.where(np.isnan(score), np.inf, -score), which))
     which, score, found = which[order], score[order], found[order]
     keep = np.arange(len(which)) - np.searchsorted(which, which) < k
     return which[keep], found[keep], score[keep]
@@ -258,5 +282,6 @@ def nearest(
     met = held.unionByName(asks).repartition(SPREAD * groups, "g").sortWithinPartitions("g", "is_block")
     found = materialize(tx.map_arrow(met, lambda b: _search(b, k, factor), _FOUND), "found")
     discard(shards, blocks)
-    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
+    place = F.when(F.isnan("score"), F.lit(float("-inf"))).otherwise(F.col("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc(place), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

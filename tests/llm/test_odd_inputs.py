@@ -3,6 +3,7 @@
 import hashlib
 import time
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,51 @@ def test_vectors_of_few_distances():
     rows, products = vptree.Tree(points, leaf=8).search(points[:50], 5)
     best = -np.sort(-(points[:50] @ points.T), axis=1)[:, :5]
     assert (-np.sort(-products, axis=1) == best).all() and (rows >= 0).all()
+
+
+def _nearest(rows, k):
+    """By the contract, in Python: sums first to last, ties to the smaller id."""
+
+    def score(a, b):
+        total = np.float64(0.0)
+        with np.errstate(all="ignore"):
+            for x, y in zip(a, b, strict=True):
+                total = total + np.float64(x) * np.float64(y)
+        return float(total)
+
+    found = []
+    for q, own in rows:
+        best = sorted(((score(own, v), i) for i, v in rows if i != q), key=lambda p: (np.inf if np.isnan(p[0]) else -p[0], p[1]))
+        found += [(q, n + 1, i, repr(s)) for n, (s, i) in enumerate(best[:k])]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("size", [1e160, 1e308, 1e-170, 3e-320, 1.0])
+def test_neighbours_of_numbers_out_of_the_usual_range(spark, size):
+    """Squares overflow or vanish; products do, or only some; sizes mixed within the table."""
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(0, 1, (260, 4)) * (size / 8)
+    vectors[::3] /= max(size, 1e-300) if size > 1 else 1.0
+    vectors[5] = vectors[9]
+    vectors[7] = 0.125
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors) if v.any()]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2)
+    asked = table.where("vec_id % 9 < 2")
+    got = vptree.nearest(table, asked, 5, shard_rows=150).collect()
+    expected = [r for r in _nearest(rows, 5) if r[0] % 9 < 2]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], repr(r["score"])) for r in got) == expected
+
+
+def test_letters_that_are_newer_than_python():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, own = Tokenizer.from_file(path), packing.Encoder(path)
+    points = [0x10D40, 0x1C89, 0xA7DC, 0x1E5D0, 0x0E01, 0x0660, 0x2028, 0x200B, 0xFEFF, 0x10FFFF, 0x378, ord("a"), ord("7"), 0x4E2D, 0x1F600, 32, 10, 39]
+    rng = np.random.default_rng(3)
+    tails = ["", "'s", "'ll", " ", "x", "1", "!"]
+    texts = ["".join(chr(rng.choice(points)) + tails[rng.integers(len(tails))] for _ in range(rng.integers(0, 12))) for _ in range(3000)]
+    ids, offsets = own.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text)

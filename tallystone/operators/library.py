@@ -2,16 +2,83 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystone.operators.catalogue import Change
 
 
+def _packed(ids: Column) -> Column:
+    """Bytes in the order of the strings: 64 lower-case hex digits become 32 bytes and 1.
+
+    Any other string goes before (0) or after (2) the digits next to it, and is kept whole behind them.
+    """
+    digits = F.regexp_extract(ids, "^[0-9a-f]{0,64}", 0)
+    following = F.substr(ids, F.length(digits) + 1, F.lit(1))
+    padded = lambda start, digit, mark: F.concat(F.unhex(F.rpad(start, 64, digit)), F.unhex(F.lit(mark)), ids.cast("binary"))
+    return (
+        F.when(ids.rlike("^[0-9a-f]{64}\\z"), F.concat(F.unhex(ids), F.unhex(F.lit("01"))))
+        .when((F.length(digits) < 64) & (following < "0"), padded(digits, "0", "00"))
+        .when((F.length(digits) < 64) & (following < "a"), padded(F.concat(digits, F.lit("9")), "f", "02"))
+        .otherwise(padded(digits, "f", "02"))
+    )
+
+
+def _digits(keys: pa.Array) -> np.ndarray | None:
+    """32 bytes a row; nothing where one of the ids is something else than 64 digits."""
+    if keys.null_count or pc.any(pc.not_equal(pc.binary_length(keys), 33)).as_py():
+        return None
+    fixed = keys.cast(pa.binary(33))
+    rows = np.frombuffer(fixed.buffers()[1], np.uint8)[33 * fixed.offset :][: 33 * len(fixed)].reshape(-1, 33)
+    return rows[:, :32] if (rows[:, 32] == 1).all() else None
+
+
+def _joined(keys: pa.Array, last: bytes | None) -> tuple[list[bytes], bytes | None]:
+    """The different ids of sorted keys behind ``last``, joined by commas (a list of one, or of none), and the last key."""
+    rows = _digits(keys)
+    if rows is None:
+        new = list(dict.fromkeys(x for x in keys.to_pylist() if x is not None and x != last))
+        return [b",".join(x[:32].hex().encode() if x[32] == 1 else x[33:] for x in new)][: len(new)], new[-1] if new else last
+    new = rows[np.append(rows[0].tobytes() + b"\x01" != last, (rows[1:] != rows[:-1]).any(axis=1))]
+    return [new.tobytes().hex(",", 32).encode()][: len(new)], rows[-1].tobytes() + b"\x01"
+
+
+def _content_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each changeset's different ids with commas between; rows come sorted, and none are kept."""
+    began, current, last, digest = False, None, None, hashlib.sha256()
+    for batch in batches:
+        done, (changes, keys) = [], batch.columns
+        for start, end in pairwise([0, *pc.run_end_encode(changes).run_ends.to_pylist()]):
+            changeset = changes[start].as_py()
+            if began and changeset != current:
+                done.append((current, digest.hexdigest()))
+                last, digest = None, hashlib.sha256()
+            before = b"," if last is not None else b""
+            found, last = _joined(keys.slice(start, end - start), last)
+            digest.update(b"".join([before, *found]) if found else b"")
+            began, current = True, changeset
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in done], changes.type), pa.array([x for _, x in done])], ["changeset_id", "content_hash"])
+    if began:
+        yield pa.RecordBatch.from_arrays([pa.array([current], changes.type), pa.array([digest.hexdigest()])], ["changeset_id", "content_hash"])
+
+
 def changesets(files: DataFrame) -> DataFrame:
-    """One row per changeset, with a content hash over its sorted file ids."""
-    grouped = files.groupBy("changeset_id").agg(F.sort_array(F.collect_set("file_id")).alias("ids"))
-    return grouped.select("changeset_id", F.concat(F.lit("changeset "), "changeset_id").alias("name"), F.sha2(F.array_join("ids", ","), 256).alias("content_hash"), F.lit("pending").alias("status"))
+    """One row per changeset, with a content hash over its sorted file ids.
+
+    A hash over a sorted list is made in order, so the ids of a changeset are sorted by one task, which spills, and flow through the hash.
+    """
+    rows = files.select("changeset_id", _packed(F.col("file_id")).alias("key")).repartition("changeset_id").sortWithinPartitions("changeset_id", "key")
+    found = rows.mapInArrow(_content_hashes, T.StructType([files.schema["changeset_id"], T.StructField("content_hash", T.StringType())]))
+    return found.select("changeset_id", F.concat(F.lit("changeset "), "changeset_id").alias("name"), "content_hash", F.lit("pending").alias("status"))
 
 
 def stats(files: DataFrame) -> DataFrame:
